@@ -90,7 +90,7 @@ def _tables() -> tuple:
             no.append(n)
     fold[0x7F] = ""
     no.append(0x7F)
-    odd = ranges({*no, *joins, 13})
+    odd = ranges({*no, *joins})
     # A starter, then at least one unstable character: the starter is the context that a mark may compose with.
     unstable = re.compile(f"[^{odd}]?(?:[{odd}])+")
     return fold, unstable
@@ -119,7 +119,7 @@ def _word(m: re.Match) -> str:
             scripts.add("c")
         elif 0x370 <= n <= 0x3FF:
             scripts.add("g")
-        elif ch.isalpha() and n not in _TO_CYRILLIC:
+        elif ch.isalpha() and n not in _TO_CYRILLIC and n not in _TO_GREEK:
             scripts.add("l")
     if scripts == {"c"}:
         plain = plain.translate(_TO_CYRILLIC)
@@ -129,14 +129,14 @@ def _word(m: re.Match) -> str:
 
 
 def _segment(m: re.Match) -> str:
-    return unicodedata.normalize("NFC", m[0].translate(_tables()[0]).replace("\r\n", "\n").replace("\r", "\n"))
+    return unicodedata.normalize("NFC", m[0].translate(_tables()[0]))
 
 
 def canonical(text: str | None) -> str | None:
     """The form of one text; null stays null, empty stays empty. Of linear cost, so texts of any length are taken whole."""
     if text is None or text.isascii() and re.match(r"[\n\t -~]*\Z", text):
         return text
-    spliced = _tables()[1].sub(_segment, text)
+    spliced = _tables()[1].sub(_segment, text.replace("\r\n", "\n").replace("\r", "\n"))
     if not unicodedata.is_normalized("NFC", spliced):  # dropping what does not show can bring a mark to its letter
         spliced = unicodedata.normalize("NFC", spliced)
     return _WORD.sub(_word, spliced) if _OTHER.search(spliced) else spliced
