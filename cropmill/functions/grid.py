@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from functools import lru_cache
 from html import escape
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -260,40 +259,55 @@ def _tree(grid: Grid, structure_only: bool) -> _Tree:
     return _Tree(labels, leftmost, keyroots, len(labels) - 1 + breaks)
 
 
-@lru_cache(200_000)
-def _content_distance(a: tuple, b: tuple) -> float:
-    return edit_distance(a, b) / max(len(a), len(b), 1)
-
-
 def _rename(a: tuple, b: tuple) -> float:
     if a[:3] != b[:3]:
         return 1.0
-    return 0.0 if a[3] == b[3] else _content_distance(a[3], b[3])
+    return 0.0 if a[3] == b[3] else edit_distance(a[3], b[3]) / max(len(a[3]), len(b[3]))
+
+
+def _renames(a: _Tree, b: _Tree) -> list[list[float]]:
+    """The cost of renaming each node of a to each of b; nodes alike are compared once."""
+    known: dict[tuple, float] = {}
+    out = []
+    for x in a.labels:
+        row = []
+        for y in b.labels:
+            cost = known.get((x, y))
+            if cost is None:
+                cost = known[x, y] = _rename(x, y)
+            row.append(cost)
+        out.append(row)
+    return out
 
 
 def tree_distance(a: _Tree, b: _Tree) -> float:
     """Ordered tree edit distance by the forests of all pairs of keyroots; insertions and deletions cost 1."""
+    if a.labels == b.labels and a.leftmost == b.leftmost:
+        return 0.0
+    rename = _renames(a, b)
     done = [[0.0] * len(b.labels) for _ in a.labels]
     for i in a.keyroots:
+        li = a.leftmost[i]
         for j in b.keyroots:
-            li, lj = a.leftmost[i], b.leftmost[j]
-            n, m = i - li + 2, j - lj + 2
-            f = [[0.0] * m for _ in range(n)]
-            for x in range(1, n):
-                f[x][0] = float(x)
-            f[0] = [float(y) for y in range(m)]
-            for x in range(1, n):
-                p, up, row = li + x - 1, f[x - 1], f[x]
-                whole, label = a.leftmost[p] == li, a.labels[p]
-                for y in range(1, m):
-                    q = lj + y - 1
-                    best = min(up[y], row[y - 1]) + 1
+            lj = b.leftmost[j]
+            f = [[float(y) for y in range(j - lj + 2)]]
+            for p in range(li, i + 1):
+                up, row, whole, costs = f[-1], [f[-1][0] + 1], a.leftmost[p] == li, rename[p]
+                back, inner = f[a.leftmost[p] - li], done[p]
+                for y, q in enumerate(range(lj, j + 1), 1):
+                    best = up[y] if up[y] < row[y - 1] else row[y - 1]
+                    best += 1
                     if whole and b.leftmost[q] == lj:
-                        best = min(best, up[y - 1] + _rename(label, b.labels[q]))
-                        done[p][q] = best
+                        other = up[y - 1] + costs[q]
+                        if other < best:
+                            best = other
+                        inner[q] = best
                     else:
-                        best = min(best, f[a.leftmost[p] - li][b.leftmost[q] - lj] + done[p][q])
-                    row[y] = best
+                        other = back[b.leftmost[q] - lj] + inner[q]
+                        if other < best:
+                            best = other
+                    row.append(best)
+                f.append(row)
     return done[-1][-1]
 
 

@@ -96,15 +96,25 @@ def cer(pred: Column, gt: Column) -> Column:
 
 
 def edit_distance(a: Sequence, b: Sequence) -> int:
-    """Edit distance of two sequences."""
-    if len(a) < len(b):
+    """Edit distance of two sequences, a column of the table at a time as bit vectors (Myers, Hyyrö)."""
+    if len(a) > len(b):
         a, b = b, a
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        corner, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            corner, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, corner + (x != y))
-    return row[-1]
+    if not a:
+        return len(b)
+    where: dict = {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    full, last, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    up, down = full, 0  # rows where the column rises, and falls, by 1
+    for y in b:
+        same = where.get(y, 0)
+        across = (((same & up) + up) ^ up) | same
+        right, left = (down | ~(across | up)) & full, up & across
+        score += ((right & last) != 0) - ((left & last) != 0)
+        right, left = right << 1 | 1, left << 1
+        fall = right & (same | down)
+        up, down = (left | ~(same | down | right)) & full, fall & full
+    return score
 
 
 def _wer(pred: pd.Series, gt: pd.Series) -> pd.Series:
