@@ -88,6 +88,10 @@ def test_copies_expand_and_empty(spark):
     assert o.overlaps(df.limit(0)).count() == 0 and o.report(df.limit(0)).count() == 0
 
 
+def test_segments_left_at_the_limit():
+    assert all(n // o.Q - o._tau(n) >= o.AGREE for n in range(o.LEAST, 100_000))
+
+
 def test_fingerprint_radius():
     rng = random.Random(2)
     for _ in range(200):
