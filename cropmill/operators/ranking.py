@@ -6,8 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows that one window task may sort.
+#: Rows that one window task may sort, and the most ranges a whole order is cut into: tables of ranges are broadcast, so
+#: beyond their product the ranges grow, not the tables.
 ROWS_PER_BUCKET = 200_000
+MOST_RANGES = 20_000
+
+
+def ranges(n: int, rows_per_range: int) -> int:
+    """The number of ranges for n rows."""
+    return max(1, min(MOST_RANGES, -(-n // rows_per_range)))
 
 
 def random_key(*cols: Column | str, seed: int = 42) -> Column:
@@ -41,10 +48,9 @@ def global_rank(df: DataFrame, order: list[Column], materialize, rows_per_bucket
     """Append the 1-based position of each row in the total order given.
 
     The order must end with a unique column, so that ties spread over ranges. Ranges of the order are ranked on their
-    own and shifted by the rows before them; the table of ranges has rows / rows_per_bucket rows and is broadcast.
+    own and shifted by the rows before them; the table of ranges, of MOST_RANGES rows at most, is broadcast.
     """
-    n = df.count()
-    parts = max(1, -(-n // rows_per_bucket))
+    parts = ranges(df.count(), rows_per_bucket)
     ranged = materialize(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
     starts = ranged.groupBy("__part").count()
     before = F.sum("count").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
