@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropmill.functions import notation
-from cropmill.operators.ranking import ROWS_PER_BUCKET, global_rank
+from cropmill.operators.ranking import ROWS_PER_BUCKET, global_rank, ranges
 from cropmill.sources.tables import materialize
 
 SCORES = ("regression", "disagreement", "candidate_gap", "priority")
@@ -32,13 +32,12 @@ def percentiles(items: DataFrame, scores: tuple[str, ...] = SCORES, rows_per_tas
     inside their range.
     """
     long = items.select("id", F.explode(F.array(*[F.struct(F.lit(s).alias("score"), F.col(s).alias("value")) for s in scores])).alias("__s")).select("id", "__s.*").filter(F.col("value").isNotNull())
-    n = long.count()
     order = [F.col("score"), F.col("value"), F.col("id")]
-    ranged = materialize(long.repartitionByRange(max(1, -(-n // rows_per_task)), *order).withColumn("__part", F.spark_partition_id()))
+    ranged = materialize(long.repartitionByRange(ranges(long.count(), rows_per_task), *order).withColumn("__part", F.spark_partition_id()))
     runs = ranged.groupBy("score", "__part").agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
     last = ranged.join(F.broadcast(runs), ["score", "__part"]).filter(F.col("value") == F.col("high")).groupBy("score", "__part").agg(F.count("*").alias("at_high"))
     table, starts, totals = {}, [], {}
-    for r in runs.join(last, ["score", "__part"]).collect():  # n / rows_per_task ranges
+    for r in runs.join(last, ["score", "__part"]).collect():  # at most MOST_RANGES ranges
         table[r["score"], r["__part"]] = r
     before: dict[str, tuple[int, float | None, int]] = {}  # score: rows so far, last value, position where its run began
     for score, part in sorted(table):

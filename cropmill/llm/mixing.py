@@ -21,6 +21,8 @@ from cropmill.sources.tables import materialize
 
 #: Tokens that the knapsack program fits exactly; larger budgets are brought below it first, length by length.
 FIT = 1 << 16
+#: Rows of the plan, one a source and length, that are broadcast; a larger plan is joined by a shuffle.
+MOST_BROADCAST = 200_000
 
 
 def fit(budget: int, counts: dict[int, int]) -> dict[int, int]:
@@ -97,7 +99,9 @@ def mix_sources(docs: DataFrame, weights: DataFrame, vocabulary: str = VOCABULAR
     mixed = sum(x[6] for x in lines)
     report = spark.createDataFrame(lines, "source string, target_weight double, max_repeats int, documents bigint, tokens bigint, budget bigint, used_tokens bigint, short boolean")
     report = report.withColumn("used_share", F.round(F.col("used_tokens") / F.lit(float(max(1, mixed))), 6))
-    side = F.broadcast(spark.createDataFrame(uses, "source string, tokens bigint, __passes int, __more bigint"))
+    side = spark.createDataFrame(uses, "source string, tokens bigint, __passes int, __more bigint")
+    if len(uses) <= MOST_BROADCAST:
+        side = F.broadcast(side)
     ranked = rank_by_key(texts.join(side, ["source", "tokens"]), ["source", "tokens"], "__key", "doc_id", "__rank")
     copies = (F.col("__passes") + F.when(F.col("__rank") < F.col("__more"), 1).otherwise(0)).cast("int")
     return ranked.select("doc_id", "source", "tokens", copies.alias("copies")).filter("copies > 0"), report
