@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,14 +53,40 @@ def signals(candidates: str, config: dict, disagreement: Column) -> Column:
     return F.struct(b.alias("base_score"), s.alias("sft_score"), error.alias("gt_error"), regression.alias("regression"), disagreement.alias("disagreement"), gap.alias("candidate_gap"), _weighted(config, [error, regression, disagreement]).alias("priority"))
 
 
-def score_rows(rows: DataFrame, config: dict) -> DataFrame:
+def _external(scorer: Callable[[str, str], float]):
+    """An Arrow function (predictions, truths) -> scores by a metric outside; a failure is -1, equal comparisons of a batch are made once."""
+
+    def run(preds: pd.Series, truths: pd.Series) -> pd.Series:
+        known: dict = {}
+
+        def one(p, g):
+            if not g:
+                return None
+            if (p, g) not in known:
+                try:
+                    known[p, g] = float(scorer(p, g)) if p else 0.0
+                except Exception:  # told as metric_error
+                    known[p, g] = -1.0
+            return known[p, g]
+
+        return pd.Series([None if ps is None else [one(p, g) for p, g in zip(ps, gs)] for ps, gs in zip(preds, truths)])
+
+    return F.pandas_udf(run, "array<double>")
+
+
+def score_rows(rows: DataFrame, config: dict, formula_scorer: Callable[[str, str], float] | None = None) -> DataFrame:
     """The rows with a quality for every candidate, and with signals.
 
     Answers that failed or were cut off are generation_error, answers without a truth missing_gt; both score null.
     Two finished greedy answers are also compared with each other, both ways, for the disagreement. Everything is
-    computed within the row: text and formulas as expressions, tables in an Arrow UDF over the arrays of a row. Null
+    computed within the row: text and formulas as expressions, tables in an Arrow UDF over the arrays of a row. With
+    metrics.formula "cdm" formulas are scored by `formula_scorer` (prediction, truth) -> score, which is tried on a
+    formula first; its failures are metric_error, empty predictions 0. Null
     candidate lists count as empty. Needs task, score_gt and candidates; any other column is kept.
     """
+    external = config["metrics"]["formula"] == "cdm"
+    if external and (formula_scorer is None or not formula_scorer("x+1", "x+1") >= 0.99):
+        raise ValueError("metrics.formula cdm needs a formula_scorer that knows a formula from itself; fast is the edit proxy")
     fields = rows.schema["candidates"].dataType.elementType.fieldNames()
     rows = rows.withColumn("candidates", F.coalesce("candidates", F.array()))
     pick = lambda role: F.get(F.filter("candidates", lambda c: F.coalesce((c["role"] == role) & (c["kind"] == "greedy"), F.lit(False))), F.lit(0))
@@ -78,10 +107,16 @@ def score_rows(rows: DataFrame, config: dict) -> DataFrame:
     n = F.size("__preds")
     pairs = F.zip_with(F.slice("__plain", 1, n), F.slice("__plain", n + 1, n), lambda p, g: F.struct(p.alias("p"), g.alias("g")))
     texts = F.transform(pairs, lambda x: F.when(F.col("task") == "formula", compare_text(x["p"], x["g"], True)).otherwise(compare_text(x["p"], x["g"], False)))
+    if external:
+        formula = F.col("task") == "formula"
+        halves = [F.when(formula, F.slice("__plain", 1, n)), F.when(formula, F.slice("__plain", n + 1, n))]
+        rows = rows.withColumn("__outside", _external(formula_scorer)(*halves))
+        judged = lambda q, i: F.when(q["status"] != "ok", q).when(F.get(F.col("__outside"), i) < 0, _failure("metric_error")).otherwise(q.withField("score", F.get(F.col("__outside"), i)).withField("metric", F.lit("cdm")).withField("render_status", F.lit("ok")))
+        texts = F.when(formula, F.transform(texts, judged)).otherwise(texts)
     rows = rows.withColumn("__scored", F.when(table, F.col("__tables").cast(f"array<{QUALITY}>")).otherwise(texts))
     own = [f for f in fields if f != "quality"]
     judge = lambda c, i: F.when(~finished(c), _failure("generation_error", F.coalesce(c["error"], c["finish_reason"]) if "error" in fields else c["finish_reason"])).when(F.col("score_gt").isNull(), _failure("missing_gt")).otherwise(F.get(F.col("__scored"), i))
     rows = rows.withColumn("__forward", F.get(F.col("__scored"), n - 2)["score"]).withColumn("__backward", F.get(F.col("__scored"), n - 1)["score"])
     rows = rows.withColumn("candidates", F.transform("candidates", lambda c, i: F.struct(*[c[f].alias(f) for f in own], judge(c, i).alias("quality"))))
     apart = F.when(both, 1 - (F.col("__forward") + F.col("__backward")) / 2)
-    return rows.withColumn("signals", signals("candidates", config, apart)).drop("__base", "__sft", "__preds", "__truths", "__tables", "__plain", "__scored", "__forward", "__backward")
+    return rows.withColumn("signals", signals("candidates", config, apart)).drop("__base", "__sft", "__preds", "__truths", "__tables", "__plain", "__outside", "__scored", "__forward", "__backward")

@@ -113,7 +113,7 @@ def build_safetensors(tensors: list[tuple[str, list[int], str, np.ndarray]]) ->
             raw = ((bits + 0x7FFF + ((bits >> 16) & 1)) >> 16).astype("<u2").tobytes()
         else:
             raw = np.asarray(values).astype(DTYPES[dtype]).tobytes()
-        header[key] = {"dtype": dtype, "shape": list(shape), "data_offsets": [at, at + len(raw)]}
+        header[key] = {"dtype": dtype, "shape": [int(n) for n in shape], "data_offsets": [at, at + len(raw)]}
         body.append(raw)
         at += len(raw)
     head = json.dumps(header).encode()
@@ -136,3 +136,79 @@ def read_checkpoints(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         own = files.mapInPandas(run, TENSORS)
         out = own if out is None else out.unionByName(own)
     return out
+
+
+def write_checkpoint(tensors: DataFrame, path: str, most_bytes: int, metadata: dict | None = None) -> dict:
+    """Write (key, shape, dtype, values) as shards of at most `most_bytes` and an index; the folder appears when it is whole.
+
+    Shards are packed in order of keys and written by one task each into a folder beside the target, which is read
+    back and compared before it is renamed. An existing target is an error. Returns the index.
+    """
+    from cropmill.operators.tensors import BYTES, shards
+
+    target = Path(path)
+    if target.exists():
+        raise FileExistsError(path)
+    part = target.with_name(f".{target.name}.part")
+    part.mkdir(parents=True)
+    width = F.lit(None).cast("int")
+    for kind, n in BYTES.items():
+        width = F.when(F.col("dtype") == kind, n).otherwise(width)
+    sized = tensors.withColumn("bytes", F.size("values") * width)
+    placed = sized.join(shards(sized.select("key", "bytes"), most_bytes).select("key", "shard"), "key")
+    folder = str(part)
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("key")
+        name = f"model-{int(group['shard'].iloc[0]) + 1:05d}.safetensors"
+        data = build_safetensors([(k, list(s), d, np.asarray(v, np.float64)) for k, s, d, v in zip(group["key"], group["shape"], group["dtype"], group["values"])])
+        Path(folder, name).write_bytes(data)
+        back = {k: s for k, s, *_ in parse_safetensors(Path(folder, name).read_bytes())}
+        if sorted(back) != sorted(group["key"]):
+            raise OSError(f"{name} doesn't read back")
+        return pd.DataFrame({"key": group["key"], "shard": name, "bytes": group["bytes"]})
+
+    rows = placed.groupBy("shard").applyInPandas(write, "key string, shard string, bytes bigint").collect()
+    index = {"metadata": {"total_size": sum(r["bytes"] for r in rows), **(metadata or {})}, "weight_map": {r["key"]: r["shard"] for r in sorted(rows)}}
+    (part / "model.safetensors.index.json").write_text(json.dumps(index, indent=2))
+    part.replace(target)
+    return index
+
+
+def with_image_hashes(rows: DataFrame, base: str, column: str = "image") -> DataFrame:
+    """Append image_hash (of the file), pixel_hash (of size and RGB pixels; of the file where Pillow is missing) and image_error.
+
+    Relative paths start from `base`, `~` is the home folder; the folder must be reachable from all executors.
+    """
+    root = Path(base).expanduser()
+
+    def one(value):
+        if not value:
+            return None, None, "no image"
+        try:
+            data = (root / Path(value).expanduser()).read_bytes()
+        except OSError as e:
+            return None, None, type(e).__name__
+        digest = hashlib.sha256(data).hexdigest()
+        try:
+            from PIL import Image
+        except ImportError:
+            return digest, digest, None
+        try:
+            with Image.open(io.BytesIO(data)) as im:
+                rgb = im.convert("RGB")
+                return digest, hashlib.sha256(str(rgb.size).encode() + rgb.tobytes()).hexdigest(), None
+        except Exception as e:
+            return digest, None, str(e)
+
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(v) for v in s], columns=["image_hash", "pixel_hash", "image_error"])
+
+    hashed = F.pandas_udf(run, "image_hash string, pixel_hash string, image_error string")(F.col(column))
+    return rows.withColumn("__h", hashed).withColumns({k: F.col(f"__h.{k}") for k in ("image_hash", "pixel_hash", "image_error")}).drop("__h")
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a JSON list or of JSONL with inferred columns and `_ord`, their order. Columns that no row has are absent; missing and null are one."""
+    reader = spark.read if path.endswith(".jsonl") else spark.read.option("multiLine", True)
+    return reader.json(path).withColumn("_ord", F.monotonically_increasing_id())
