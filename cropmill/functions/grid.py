@@ -353,7 +353,8 @@ def _compare_arrays(pred: pd.Series, gt: pd.Series) -> pd.Series:
 
 
 def compare_table_arrays(pred: Column, gt: Column) -> Column:
-    return F.pandas_udf(_compare_arrays, f"array<struct<{', '.join(x.replace(' ', ':', 1) for x in QUALITY.split(', ')).replace(', ', ',')}>>")(pred, gt)
+    # Nondeterministic, so that no filter on what follows computes it again.
+    return F.pandas_udf(_compare_arrays, f"array<struct<{', '.join(x.replace(' ', ':', 1) for x in QUALITY.split(', ')).replace(', ', ',')}>>").asNondeterministic()(pred, gt)
 
 
 GRID = "canonical string, otsl string, is_otsl boolean, rows int, columns int, cells int, merged_cells int, error string"

@@ -32,12 +32,15 @@ def is_train(df: DataFrame) -> Column:
 
 
 def forbidden_keys(rows: DataFrame, excluded: DataFrame | None = None) -> DataFrame:
-    """Distinct (kind, value) of all held-out rows and of every excluded row."""
+    """Distinct (kind, value) of all held-out rows and of every excluded row.
+
+    Computed arrays are exploded outer: else the optimizer filters on their size first, which computes them twice.
+    """
     held = rows.filter(~is_train(rows))
-    keys = held.select(F.explode(identity_keys(held)).alias("k"))
+    keys = held.select(F.explode_outer(identity_keys(held)).alias("k"))
     if excluded is not None:
-        keys = keys.unionByName(excluded.select(F.explode(identity_keys(excluded)).alias("k")))
-    return keys.select("k.*").distinct()
+        keys = keys.unionByName(excluded.select(F.explode_outer(identity_keys(excluded)).alias("k")))
+    return keys.filter("k IS NOT NULL").select("k.*").distinct()
 
 
 def isolate(rows: DataFrame, order: list[Column], excluded: DataFrame | None = None) -> DataFrame:
@@ -56,7 +59,7 @@ def isolate(rows: DataFrame, order: list[Column], excluded: DataFrame | None = N
     if same is None:
         raise ValueError("rows need pixel_hash, image_hash or image")
     rows = rows.withColumn("__row", F.unhex(F.md5(F.to_json(F.struct(*order))))).withColumn("__order", F.struct(*order))
-    keys = rows.filter(is_train(rows)).select("__row", F.explode(identity_keys(rows)).alias("k")).select("__row", F.to_json("k").alias("__key"))
+    keys = rows.filter(is_train(rows)).select("__row", F.explode_outer(identity_keys(rows)).alias("k")).filter("k IS NOT NULL").select("__row", F.to_json("k").alias("__key"))
     banned = forbidden_keys(rows, excluded).select(F.to_json(F.struct("kind", "value")).alias("__key"))
     hot = skew.hot_keys(keys.groupBy("__key").agg(F.count("*").alias("n")))
     leaks = skew.lookup(keys, banned, "__key", hot).select("__row").distinct().withColumn("__leak", F.lit(True))

@@ -44,8 +44,11 @@ def with_forms(rows: DataFrame) -> DataFrame:
     plain = F.transform(text.nfc_array(F.when(~table, texts)), lambda t: text.strip(F.replace(t, F.lit("\r\n"), F.lit("\n"))))
     formula = F.transform(plain, text.strip_delimiters)
     rows = rows.withColumn("__texts", texts).withColumn("__tables", described).withColumn("__plain", F.when(F.col("task") == "formula", formula).otherwise(plain))
-    form = lambda t, i: F.struct(F.when(table, F.coalesce(F.get(F.col("__tables"), i)["canonical"], t)).otherwise(F.get(F.col("__plain"), i)).alias("form"), F.coalesce(F.get(F.col("__tables"), i)["is_otsl"], F.lit(False)).alias("is_otsl"))
-    return rows.withColumn("__forms", F.transform("__texts", form)).drop("__texts", "__tables", "__plain")
+    # Zipped, so that each array is computed once a row and not once an element.
+    empty = lambda c: F.coalesce(F.col(c), F.array())
+    zipped = F.arrays_zip(F.col("__texts").alias("text"), empty("__tables").alias("t"), empty("__plain").alias("plain"))
+    form = lambda x: F.struct(F.when(table, F.coalesce(x["t"]["canonical"], x["text"])).otherwise(x["plain"]).alias("form"), F.coalesce(x["t"]["is_otsl"], F.lit(False)).alias("is_otsl"))
+    return rows.withColumn("__forms", F.transform(zipped, form)).drop("__texts", "__tables", "__plain")
 
 
 def make_pairs(rows: DataFrame, config: dict) -> DataFrame:

@@ -26,12 +26,13 @@ def finished(c: Column) -> Column:
     return F.coalesce((c["status"] == "ok") & c["finish_reason"].isin("stop", "eos"), F.lit(False))
 
 
-def compare_text(pred: Column, gt: Column, formula: bool) -> Column:
-    """Quality of normalised text against a normalised truth."""
-    ned = text.normalized_distance(pred, gt)
-    values = {"score": 1 - ned, "ned": ned, "exact": pred == gt, "status": F.lit("ok")}
-    values |= {"metric": F.lit("formula_edit_proxy"), "render_status": F.lit("not_checked")} if formula else {"metric": F.lit("text_ned"), "cer": text.cer(pred, gt)}
-    return F.when(gt == "", _quality(status=F.lit("invalid_gt"), error=F.lit("empty GT"))).otherwise(_quality(**values))
+def compare_text(x: Column, formula: bool) -> Column:
+    """Quality of a comparison (p, g, d): normalised text, normalised truth and their edit distance."""
+    p, g, d = x["p"], x["g"], x["d"]
+    ned = d / F.greatest(F.char_length(p), F.char_length(g), F.lit(1))
+    values = {"score": 1 - ned, "ned": ned, "exact": p == g, "status": F.lit("ok")}
+    values |= {"metric": F.lit("formula_edit_proxy"), "render_status": F.lit("not_checked")} if formula else {"metric": F.lit("text_ned"), "cer": d / F.char_length(g)}
+    return F.when(g == "", _quality(status=F.lit("invalid_gt"), error=F.lit("empty GT"))).otherwise(_quality(**values))
 
 
 def _weighted(config: dict, parts: list[Column]) -> Column:
@@ -105,18 +106,19 @@ def score_rows(rows: DataFrame, config: dict, formula_scorer: Callable[[str, str
     rows = rows.withColumn("__tables", tables).withColumn("__plain", plain)
     rows = rows.withColumn("__plain", F.when(F.col("task") == "formula", F.transform("__plain", text.strip_delimiters)).otherwise(F.col("__plain")))
     n = F.size("__preds")
-    pairs = F.zip_with(F.slice("__plain", 1, n), F.slice("__plain", n + 1, n), lambda p, g: F.struct(p.alias("p"), g.alias("g")))
-    texts = F.transform(pairs, lambda x: F.when(F.col("task") == "formula", compare_text(x["p"], x["g"], True)).otherwise(compare_text(x["p"], x["g"], False)))
+    pairs = F.zip_with(F.slice("__plain", 1, n), F.slice("__plain", n + 1, n), lambda p, g: F.struct(p.alias("p"), g.alias("g"), F.levenshtein(p, g).alias("d")))
+    # Arrays are handed on whole, each used once: inside a lambda an array would be computed again for every element.
+    texts = F.transform(pairs, lambda x: F.when(F.col("task") == "formula", compare_text(x, True)).otherwise(compare_text(x, False)))
     if external:
         formula = F.col("task") == "formula"
         halves = [F.when(formula, F.slice("__plain", 1, n)), F.when(formula, F.slice("__plain", n + 1, n))]
         rows = rows.withColumn("__outside", _external(formula_scorer)(*halves))
-        judged = lambda q, i: F.when(q["status"] != "ok", q).when(F.get(F.col("__outside"), i) < 0, _failure("metric_error")).otherwise(q.withField("score", F.get(F.col("__outside"), i)).withField("metric", F.lit("cdm")).withField("render_status", F.lit("ok")))
-        texts = F.when(formula, F.transform(texts, judged)).otherwise(texts)
+        judged = lambda q, x: F.when(q["status"] != "ok", q).when(x < 0, _failure("metric_error")).otherwise(q.withField("score", x).withField("metric", F.lit("cdm")).withField("render_status", F.lit("ok")))
+        texts = F.when(formula, F.zip_with(texts, F.col("__outside"), judged)).otherwise(texts)
     rows = rows.withColumn("__scored", F.when(table, F.col("__tables").cast(f"array<{QUALITY}>")).otherwise(texts))
     own = [f for f in fields if f != "quality"]
-    judge = lambda c, i: F.when(~finished(c), _failure("generation_error", F.coalesce(c["error"], c["finish_reason"]) if "error" in fields else c["finish_reason"])).when(F.col("score_gt").isNull(), _failure("missing_gt")).otherwise(F.get(F.col("__scored"), i))
+    judge = lambda c, q: F.when(~finished(c), _failure("generation_error", F.coalesce(c["error"], c["finish_reason"]) if "error" in fields else c["finish_reason"])).when(F.col("score_gt").isNull(), _failure("missing_gt")).otherwise(q)
     rows = rows.withColumn("__forward", F.get(F.col("__scored"), n - 2)["score"]).withColumn("__backward", F.get(F.col("__scored"), n - 1)["score"])
-    rows = rows.withColumn("candidates", F.transform("candidates", lambda c, i: F.struct(*[c[f].alias(f) for f in own], judge(c, i).alias("quality"))))
+    rows = rows.withColumn("candidates", F.zip_with("candidates", F.slice("__scored", F.lit(1), F.size("candidates")), lambda c, q: F.struct(*[c[f].alias(f) for f in own], judge(c, q).alias("quality"))))
     apart = F.when(both, 1 - (F.col("__forward") + F.col("__backward")) / 2)
     return rows.withColumn("signals", signals("candidates", config, apart)).drop("__base", "__sft", "__preds", "__truths", "__tables", "__plain", "__outside", "__scored", "__forward", "__backward")

@@ -110,7 +110,7 @@ def _histogram() -> str:
 A AS (SELECT field, v::DOUBLE AS v FROM ({each}) WHERE v IS NOT NULL AND isfinite(v::DOUBLE)),
 M AS (SELECT field, CASE WHEN max(v) = 0 THEN 1.0::DOUBLE ELSE max(v) END AS hi FROM A GROUP BY field),
 C AS (SELECT field, least(9, greatest(0, trunc(v / hi * 10)::INT)) AS bin, count(*) AS n FROM A JOIN M USING (field) GROUP BY ALL)
-SELECT m.field, r.b AS bin, coalesce(c.n, 0) AS n FROM M m CROSS JOIN range(10) AS r(b) LEFT JOIN C c ON c.field = m.field AND c.bin = r.b"""
+SELECT m.field, r.b::INT AS bin, coalesce(c.n, 0) AS n FROM M m CROSS JOIN range(10) AS r(b) LEFT JOIN C c ON c.field = m.field AND c.bin = r.b"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -141,7 +141,7 @@ FROM A""",
         "excluded_documents": f"""{S}, {_KEYS},
 M AS (SELECT DISTINCT {_doc("document_id")} AS document_id FROM documents WHERE {_label("source")} = 'web_harvest')
 SELECT id FROM S WHERE split = 'train' AND (id IN (SELECT id FROM L) OR document_id IN (SELECT document_id FROM M WHERE document_id IS NOT NULL))""",
-        "duplicate_ids": "SELECT id, batch_no, rn - 1 AS repeat FROM (SELECT id, batch_no, row_number() OVER (PARTITION BY id ORDER BY ingested_at, batch_no) AS rn FROM samples WHERE id IS NOT NULL) WHERE rn > 1",
+        "duplicate_ids": "SELECT id, batch_no, (rn - 1)::INT AS repeat FROM (SELECT id, batch_no, row_number() OVER (PARTITION BY id ORDER BY ingested_at, batch_no) AS rn FROM samples WHERE id IS NOT NULL) WHERE rn > 1",
         "formula_forms": f"{S}, A AS (SELECT id, {_TEXT} AS t FROM S WHERE task = 'formula' AND gt IS NOT NULL) SELECT id, {_FORMULA} AS form FROM A",
         "text_forms": f"{S} SELECT id, {_TEXT} AS form FROM S WHERE task = 'text' AND gt IS NOT NULL",
         "signals": f"""{S},
@@ -157,7 +157,7 @@ SELECT id, b AS base_score, s AS sft_score, e AS gt_error, r AS regression, d AS
         "apportion_budget": """
 WITH X AS (SELECT *, 1000 * target_share / sum(target_share) OVER () AS exact FROM mix_targets)
 SELECT task, domain, mining_bucket, (floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, concat_ws('/', domain, task, mining_bucket)) <= 1000 - sum(floor(exact)) OVER () THEN 1 ELSE 0 END)::BIGINT AS quota FROM X""",
-        "stratify_quota": f"{S}, {_QUOTAS} SELECT id, position FROM Z WHERE position <= 1000",
+        "stratify_quota": f"{S}, {_QUOTAS} SELECT id, position::INT AS position FROM Z WHERE position <= 1000",
         "quota_report": f"""{S}, {_QUOTAS},
 U AS (SELECT category, count(*) FILTER (inside) AS in_quota, count(*) FILTER (position <= 1000) AS actual FROM Z GROUP BY 1)
 SELECT category, coalesce(desired, 0)::BIGINT AS desired, coalesce(in_quota, 0) AS in_quota, coalesce(actual, 0) AS actual, greatest(coalesce(desired, 0) - coalesce(in_quota, 0), 0)::BIGINT AS shortfall FROM Y FULL JOIN U USING (category) WHERE desired IS NOT NULL OR actual > 0""",
@@ -181,7 +181,7 @@ SELECT DISTINCT id, role FROM M WHERE id NOT IN (SELECT id FROM O)""",
         "otsl_tokens": f"{S} SELECT id, {', '.join(f'len(regexp_extract_all(gt, {chr(39)}<{t}>{chr(39)}))::INT AS {t}' for t in ('fcel', 'ecel', 'lcel', 'ucel', 'xcel', 'nl'))} FROM S WHERE task = 'table' AND gt IS NOT NULL",
         "report_counts": f"{S} " + " UNION ALL ".join(f"SELECT '{c}' AS field, coalesce({c}, 'unknown') AS value, count(*) AS n FROM S GROUP BY 2" for c in ("task", "source", "domain", "language")),
         "report_bars": f"""{S}, A AS (SELECT coalesce(document_id, 'unknown') AS value, count(*) AS n, min(struct_pack(ingested_at, batch_no, id)) AS first FROM S GROUP BY 1)
-SELECT value, n, place FROM (SELECT value, n, row_number() OVER (ORDER BY first, value) AS place FROM A) WHERE place <= 30""",
+SELECT value, n, place::INT AS place FROM (SELECT value, n, row_number() OVER (ORDER BY first, value) AS place FROM A) WHERE place <= 30""",
         "report_histogram": _histogram(),
         "report_scatter": f"{S} SELECT id, round(30 + 300 * sig.base_score, 2) AS cx, round(310 - 300 * sig.sft_score, 2) AS cy FROM S WHERE sig.base_score IS NOT NULL AND sig.sft_score IS NOT NULL",
         "report_pages": f"{S} SELECT id, (row_number() OVER (ORDER BY ingested_at, batch_no, id) - 1) // 40 AS page FROM S",
