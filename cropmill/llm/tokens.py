@@ -34,4 +34,6 @@ def with_tokens(docs: DataFrame, column: str = "text", name: str = "tokens", voc
         for s in batches:
             yield s.map(lambda t: len(encoding.encode_ordinary(t)) if t else 0).astype("int64")
 
-    return docs.withColumn(name, F.pandas_udf(count, "bigint")(F.coalesce(F.col(column), F.lit(""))))
+    # A deterministic function would be computed again for every filter on its result.
+    counted = F.pandas_udf(count, "bigint").asNondeterministic()
+    return docs.withColumn(name, counted(F.coalesce(F.col(column), F.lit(""))))
