@@ -10,6 +10,7 @@ from cropmill.config import SPLITS, TASKS
 from cropmill.functions import grid, text
 from cropmill.functions.ordering import hash_split
 from cropmill.operators.isolate import isolate
+from cropmill.sources.tables import materialize
 
 #: The prompts of SFT records and the task each stands for.
 PROMPT_TASK = {"OCR:": "text", "Table Recognition:": "table", "Formula Recognition:": "formula"}
@@ -141,7 +142,7 @@ def import_rows(rows: DataFrame, config: dict, order: list[Column], excluded: Da
     Of rows with one id the first that could be normalised has it. Held-out rows protect the evaluation even where
     their own annotation is invalid, as do the rows of `excluded` (every row of them).
     """
-    made = normalize(rows, config)
+    made = materialize(normalize(rows, config))  # tables are parsed once
     by_id = W.partitionBy("id", F.col("import_error").isNull()).orderBy(*order)
     again = F.col("import_error").isNull() & (F.row_number().over(by_id) > 1)
     made = made.withColumn("import_error", F.when(again, "duplicate id").otherwise(F.col("import_error")))

@@ -59,3 +59,21 @@ def export(todo: DataFrame, parse: Callable[[dict], str]) -> DataFrame:
             yield pd.DataFrame(out, columns=[x.split()[0] for x in STATUS.split(", ")])
 
     return todo.mapInPandas(run, STATUS)
+
+
+def write_pages(done: DataFrame, folder: str) -> int:
+    """Write the text of each good page as <stem>.md into a folder all nodes reach, each file whole or not at all; returns their number."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pathlib import Path
+
+        root = Path(folder)
+        root.mkdir(parents=True, exist_ok=True)
+        for b in batches:
+            for name, text in zip(b["stem"], b["markdown"]):
+                part = root / f".{name}.part"
+                part.write_text(text, encoding="utf-8")
+                part.replace(root / f"{name}.md")
+            yield b[["stem"]]
+
+    return done.filter("status = 'ok'").select("stem", "markdown").mapInPandas(run, "stem string").count()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -92,3 +93,54 @@ def render(rows: DataFrame, pending: DataFrame, title: str = "Data report") -> s
     body += _bars("reasons", [(r["reason"], r["n"]) for r in exclusion_reasons(pending).orderBy(F.col("n").desc(), "reason").limit(BARS).collect()])
     preview = "\n".join(f"{r['id']}\t{r['reason']}" for r in pending.select("id", "reason").orderBy("id", "reason").limit(PREVIEW).collect())
     return f'<!doctype html><html><meta charset="utf-8"><title>{html.escape(title)}</title><body><h1>{html.escape(title)}</h1>{body}<pre>{html.escape(preview)}</pre></body></html>'
+
+
+def render_content(task: str | None, text: str | None) -> str:
+    """A truth or an answer as HTML: a table as its canonical form, everything else, and tables without a grid, as escaped text."""
+    from cropmill.functions import grid
+
+    raw = f"<pre>{html.escape(text or '')}</pre>"
+    if task != "table" or not text:
+        return raw
+    try:
+        return grid.canonical(text) + raw
+    except grid.GridError as e:
+        return f"<small>{html.escape(str(e))}</small>{raw}"
+
+
+def sample_pages(rows: DataFrame, order: list[Column], page_size: int) -> DataFrame:
+    """(page, html): the samples side by side with their answers, page_size on a page; a page is one group."""
+    has = set(rows.columns)
+    audit = F.col("pair_audit") if "pair_audit" in has else F.lit(None).cast("struct<chosen_id:string,rejected_id:string>")
+    badge = lambda c: F.when(c["id"] == audit["chosen_id"], "chosen").when(c["id"] == audit["rejected_id"], "rejected").otherwise("")
+    answers = F.transform(F.coalesce("candidates", F.array()), lambda c: F.struct(c["role"].alias("role"), c["kind"].alias("kind"), c["text"].alias("text"), badge(c).alias("badge")))
+    slim = rows.select(F.col("id").cast("string").alias("id"), "task", F.col("target").alias("gt"), answers.alias("answers"), *[c for c in rows.columns if c not in ("id", "task", "gt", "answers") and any(str(o) == c for o in order)])
+
+    def render_page(group: pd.DataFrame) -> pd.DataFrame:
+        body = ""
+        for r in group.to_dict("records"):
+            cells = f"<section><h3>truth</h3>{render_content(r['task'], r['gt'])}</section>"
+            for a in r["answers"]:
+                cells += f"<section><h3>{html.escape(' '.join(str(a[k] or '') for k in ('role', 'kind', 'badge')))}</h3>{render_content(r['task'], a['text'])}</section>"
+            body += f"<article><h2>{html.escape(str(r['id']))} - {html.escape(str(r['task']))}</h2>{cells}</article>"
+        page = int(group["page"].iloc[0])
+        return pd.DataFrame({"page": [page], "html": [f'<!doctype html><html><meta charset="utf-8"><title>Samples {page + 1}</title><body><a href="index.html">index</a>{body}</body></html>']})
+
+    return pages(slim, order, page_size).groupBy("page").applyInPandas(render_page, "page bigint, html string")
+
+
+def write_report(rows: DataFrame, pending: DataFrame, out: str, order: list[Column], page_size: int) -> int:
+    """index.html and samples-N.html in a folder all nodes reach; returns the number of sample pages."""
+    from pathlib import Path
+
+    Path(out).mkdir(parents=True, exist_ok=True)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for page, text in zip(b["page"], b["html"]):
+                Path(out, f"samples-{page + 1}.html").write_text(text, encoding="utf-8")
+            yield b[["page"]]
+
+    n = sample_pages(rows, order, page_size).mapInPandas(write, "page bigint").count()
+    Path(out, "index.html").write_text(render(rows, pending), encoding="utf-8")
+    return n

@@ -235,3 +235,26 @@ def agent_result(audit: DataFrame) -> DataFrame:
     """(seed_id, template_index, accepted, html): the last attempt of each, with a reason when the repairs were used up."""
     last = audit.groupBy("seed_id", "template_index").agg(F.max(F.struct("attempt", "accepted", "html")).alias("l"))
     return last.select("seed_id", "template_index", F.col("l.accepted").alias("accepted"), "l.html", F.when(~F.col("l.accepted"), "repair budget exhausted; see audit").alias("reason"))
+
+
+RENDERED = "id string, template_family_id string, index int, html string, otsl string, image binary, image_hash string, split string, qa struct<status:string>, error string"
+
+
+def render_variants(made: DataFrame, renderer: Callable[[str], bytes]) -> DataFrame:
+    """RENDERED records of variants, by a renderer (page -> PNG bytes) that the caller gives; one that fails has its error and failed quality."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        for b in batches:
+            out = []
+            for r in b.to_dict("records"):
+                name = f"{r['template_family_id']}-{r['index']}"
+                try:
+                    image = renderer(page_html(r["html"], name, json.loads(r["style"])))
+                    out.append((name, r["template_family_id"], r["index"], r["html"], r["otsl"], image, hashlib.sha256(image).hexdigest(), "train", {"status": "passed"}, None))
+                except Exception as e:
+                    out.append((name, r["template_family_id"], r["index"], r["html"], r["otsl"], None, None, "train", {"status": "failed"}, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=[x.split()[0] for x in RENDERED.split(", ")])
+
+    return made.mapInPandas(run, RENDERED)

@@ -220,3 +220,24 @@ def test_streaming_upsert_and_windows(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted((r.n, r.total) for r in spark.table("w").collect()) == [(1, 4.0), (2, 3.0)]
+
+
+def test_report_pages_rendering_and_page_files(spark, tmp_path):
+    row = "id string, task string, target string, candidates array<struct<id:string,role:string,kind:string,text:string>>, signals struct<base_score:double>, pair_audit struct<chosen_id:string,rejected_id:string>"
+    df = spark.createDataFrame([(f"<{i}>", "table" if i % 2 else "text", "<fcel>a<nl>" if i % 2 else "x<y", [("c0", "sft", "greedy", "bad")], (0.5,), ("c0", None)) for i in range(5)] + [("z", None, None, None, None, None)], row)
+    n = report.write_report(df, df.select("id", F.lit("why").alias("reason")), str(tmp_path / "r"), ["id"], 4)
+    assert n == 2 and sorted(p.name for p in (tmp_path / "r").iterdir()) == ["index.html", "samples-1.html", "samples-2.html"]
+    text = (tmp_path / "r" / "samples-1.html").read_text()
+    assert "&lt;1&gt;" in text and "<td>a</td>" in text and "chosen" in text and "x&lt;y" in text and "<1>" not in text
+    made = synthesis.variants(spark.createDataFrame(synthesis.builtin_templates(), synthesis.TEMPLATE), 2)
+
+    def renderer(page):
+        if "merged_header-1" in page:
+            raise RuntimeError("no")
+        return page.encode()
+
+    out = materialize(synthesis.render_variants(made, renderer))
+    checked = {r.id: r.reason for r in synthesis.check_records(out.withColumn("actual_hash", F.col("image_hash")), ["id"]).collect()}
+    assert len(checked) == 8 and {k: v for k, v in checked.items() if v} == {"merged_header-1": "held-out or failed render QA"}
+    done = spark.createDataFrame([("a", "k", "ok", "# é", "h", None), ("b", "k", "error", None, None, "x")], pages.STATUS)
+    assert pages.write_pages(done, str(tmp_path / "p")) == 1 and (tmp_path / "p" / "a.md").read_text(encoding="utf-8") == "# é"
