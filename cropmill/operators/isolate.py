@@ -58,15 +58,16 @@ def isolate(rows: DataFrame, order: list[Column], excluded: DataFrame | None = N
     same = next((c for c in SAME if c in rows.columns), None)
     if same is None:
         raise ValueError("rows need pixel_hash, image_hash or image")
-    rows = rows.withColumn("__row", F.unhex(F.md5(F.to_json(F.struct(*order))))).withColumn("__order", F.struct(*order))
-    keys = rows.filter(is_train(rows)).select("__row", F.explode_outer(identity_keys(rows)).alias("k")).filter("k IS NOT NULL").select("__row", F.to_json("k").alias("__key"))
-    banned = forbidden_keys(rows, excluded).select(F.to_json(F.struct("kind", "value")).alias("__key"))
+    # Rows are known by 128 bits of their place.
+    rows = rows.withColumn("__row", F.struct(F.xxhash64(*order).alias("a"), F.xxhash64(F.lit(1), *order).alias("b"))).withColumn("__order", F.struct(*order))
+    keys = rows.filter(is_train(rows)).select("__row", F.explode_outer(identity_keys(rows)).alias("k")).filter("k IS NOT NULL").select("__row", F.concat("k.kind", F.lit(":"), "k.value").alias("__key"))
+    banned = forbidden_keys(rows, excluded).select(F.concat("kind", F.lit(":"), "value").alias("__key"))
     hot = skew.hot_keys(keys.groupBy("__key").agg(F.count("*").alias("n")))
     leaks = skew.lookup(keys, banned, "__key", hot).select("__row").distinct().withColumn("__leak", F.lit(True))
     marked = rows.join(leaks, "__row", "left").withColumn("__leak", F.col("__leak").isNotNull() & is_train(rows))
     target = F.col("target") if "target" in rows.columns else F.lit(None).cast("string")
     # Leaked rows get keys of their own: they neither group nor win.
-    group = W.partitionBy("__leak", F.when(F.col("__leak"), F.hex("__row")).otherwise(F.col(same).cast("string")))
+    group = W.partitionBy("__leak", F.when(F.col("__leak"), F.col("__row").cast("string")).otherwise(F.col(same).cast("string")))
     first = F.first(F.struct(F.col("id").alias("id"), target.alias("target"), F.col("task").alias("task"))).over(group.orderBy("__order"))
     judged = marked.withColumn("__rn", F.row_number().over(group.orderBy("__order"))).withColumn("__first", first)
     judged = judged.withColumn("__differs", ~target.eqNullSafe(F.col("__first.target")) | ~F.col("task").eqNullSafe(F.col("__first.task")))
