@@ -3,13 +3,13 @@
 Pairs come from shared keys (document, image) and from near-equal gt. For the latter every text gets a similarity code.
 Its blocks are hashes of segments of Q characters and of their rough position: a train text has those of its disjoint
 segments, a held-out text those of all its windows, so a block outlives edits elsewhere and shifts by them. Blocks are
-joined across the splits, of each train text the RAREST rarest ones that occur in a held-out text at all: blocks that an
-edit made occur nowhere, which leaves the surviving ones, and common phrases are passed over. A train text that has a
-partner may have more, which lack just these blocks; it is looked up again by as many blocks as make it certain: with t
-edits at most t segments are lost, so of e segments that occur, of s in all, AGREE of the e - s + t + AGREE rarest are
-left, and only pairs with as many are looked at.
+joined across the splits, of each train text as many of the rarest ones that occur in a held-out text as make it certain
+to meet every partner: with t edits at most t segments are lost, so of e segments that occur, of s in all, AGREE of the
+e - s + t + AGREE rarest are left, and only pairs with as many are looked at. Blocks that an edit made occur nowhere,
+which leaves the surviving ones and few more; a text with fewer than s - t of them has no partner.
 Pairs that agree in a block are held against a bit fingerprint (counts of 32 groups of characters in unary code, of which an edit flips at
-most two bits, so the Hamming radius of t edits is 2t) and are then verified on their texts by edit distance.
+most two bits, so the Hamming radius of t edits is 2t), before any shuffle against its counts modulo 8 in a ring code of
+the same radius, and are then verified on their texts by edit distance.
 """
 
 from __future__ import annotations
@@ -28,12 +28,10 @@ from cropmill.sources.tables import materialize
 
 #: Least length of a gt that takes part, and the edits allowed in 100 characters of the longer one.
 LEAST, EDITS = 80, 10
-#: Characters of a segment, width of a position, and the number of blocks by which a train text is looked up.
-Q, WIDTH, RAREST = 7, 64, 4
+#: Characters of a segment, and width of a position.
+Q, WIDTH = 7, 64
 #: Segments that agree in any pair within the limit: at least this many are left of a text of LEAST characters or more.
 AGREE = 2
-#: Bits of the map of blocks that texts with a partner are looked up by; a full map filters less and loses nothing.
-BITS = 1 << 23
 #: Rows of a key that one task joins with as many of the other side.
 ROWS_PER_SALT = 5_000
 
@@ -63,6 +61,8 @@ def _blocks(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 #: at: position x 2^32 + length of the text.
 BLOCKS = "block bigint, key bigint, at bigint"
+#: The fingerprint modulo 8, in two longs.
+SHORT = ("j0", "j1")
 
 
 def _frame(parts: list[tuple[int, np.ndarray, np.ndarray, int]]) -> pd.DataFrame:
@@ -73,24 +73,16 @@ def _frame(parts: list[tuple[int, np.ndarray, np.ndarray, int]]) -> pd.DataFrame
     return pd.DataFrame({"block": np.concatenate([b for _, b, *_ in parts]), "key": keys, "at": np.concatenate([(x << 32) + n for *_, x, n in parts])})
 
 
-def _windows(wanted=None):
-    """Held-out texts -> the blocks of all windows; with a broadcast bitmap those that may be among the wanted ones."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts = []
-            for key, text in zip(batch["key"], batch["gt"]):
-                p = _points(text)
-                at = np.arange(len(p) - Q + 1)
-                blocks = _blocks(_codes(p, at), at // WIDTH)
-                if wanted is not None:
-                    bit = blocks.view(np.uint64) % np.uint64(BITS)
-                    some = (wanted.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-                    at, blocks = at[some], blocks[some]
-                parts.append((key, blocks, at, len(p)))
-            yield _frame(parts)
-
-    return run
+def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Held-out texts -> the blocks of all windows, with the short fingerprint of the text."""
+    for batch in batches:
+        parts = []
+        for key, text in zip(batch["key"], batch["gt"]):
+            p = _points(text)
+            at = np.arange(len(p) - Q + 1)
+            parts.append((key, _blocks(_codes(p, at), at // WIDTH), at, len(p)))
+        times = [len(b) for _, b, *_ in parts]
+        yield _frame(parts).assign(**{j: np.repeat(batch[j].to_numpy(np.int64), times) for j in SHORT})
 
 
 def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,8 +109,15 @@ def _bits(text: str) -> tuple[int, ...]:
     return tuple(int(x) for x in np.minimum(c, 255).astype(np.uint8).view(np.int64))
 
 
+#: 0 to 7 so that neighbours, 7 and 0 too, differ in one bit: a count that an edit changes by 1 flips one.
+_RING = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000], np.uint8)
+
+
 def _fingerprints(s: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_bits(t) for t in s], columns=WORDS).astype("int64")
+    words = np.array([_bits(t) for t in s], np.int64).reshape(-1, len(WORDS))
+    ring = _RING[words.view(np.uint8) % 8]
+    short = np.ascontiguousarray(ring[:, ::2] << 4 | ring[:, 1::2]).view(np.int64)
+    return pd.DataFrame(np.hstack([words, short]), columns=[*WORDS, *SHORT])
 
 
 def _hamming(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
@@ -143,21 +142,10 @@ def near_texts(texts: DataFrame) -> DataFrame:
     texts: (key, md5, gt, bits, in_train, in_held), each gt once, of at least LEAST characters. Two texts of one 64-bit
     key are both verified, so a collision loses nothing.
     """
-    spark = texts.sparkSession
-    held, train = texts.filter("in_held").select("key", "gt"), texts.filter("in_train")
-    windows = held.mapInPandas(_windows(), BLOCKS)
-    segments = train.select("key", "gt").mapInPandas(_segments, BLOCKS)
-    first = materialize(_verified(_met(_rarest(segments, windows, certain=False), windows, 1), texts))
-    # Texts that have a partner, or occur in both splits and so may have more.
-    again = train.join(first.select(F.col("train").alias("md5")).distinct(), "md5", "left_semi").unionByName(train.filter("in_held")).select("key", "gt").distinct()
-    segments = materialize(again.mapInPandas(_segments, BLOCKS))
-    bit = F.pmod(F.col("block"), F.lit(BITS))  # BITS is a power of 2, so signed and unsigned blocks agree
-    bitmap = np.zeros(BITS // 64, np.int64)
-    for r in segments.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(block, {BITS}) & 63 as int))")).alias("bits")).collect():  # at most BITS / 64 rows
-        bitmap[r["word"]] = r["bits"]
-    windows = held.mapInPandas(_windows(spark.sparkContext.broadcast(bitmap.view(np.uint64))), BLOCKS)
-    second = _verified(_met(_rarest(segments, windows, certain=True), windows, AGREE), texts)
-    return first.unionByName(second).distinct()
+    windows = texts.filter("in_held").select("key", "gt", *[f"bits.{j}" for j in SHORT]).mapInPandas(_windows, BLOCKS + "".join(f", {j} bigint" for j in SHORT))
+    segments = texts.filter("in_train").select("key", "gt").mapInPandas(_segments, BLOCKS)
+    blocks = _rarest(segments, windows).join(texts.filter("in_train").select("key", *[f"bits.{j}" for j in SHORT]), "key")
+    return _verified(_met(blocks, windows), texts).distinct()
 
 
 def _place(c: str) -> Column:
@@ -168,28 +156,25 @@ def _size(c: str) -> Column:
     return F.col(c).bitwiseAND(0xFFFFFFFF)
 
 
-def _rarest(segments: DataFrame, windows: DataFrame, certain: bool) -> DataFrame:
-    """Of each text the RAREST segments that occur in a held-out text, or as many of the rarest as make AGREE hits certain."""
+def _rarest(segments: DataFrame, windows: DataFrame) -> DataFrame:
+    """Of each text as many of the rarest segments that occur in a held-out text as make AGREE hits of every partner certain; none of a text with too few to have a partner."""
     found = segments.join(windows.groupBy("block").agg(F.count("*").alias("n")), "block").repartition("key")
     found = found.withColumn("n", F.sum("n").over(W.partitionBy("key", "at")))
     ranked = found.withColumn("__rank", F.dense_rank().over(W.partitionBy("key").orderBy("n", "at")))
-    if not certain:
-        return ranked.filter(F.col("__rank") <= RAREST)
-    there = F.max("__rank").over(W.partitionBy("key"))
     size, most = F.floor(_size("at") / Q), F.floor(F.floor(_size("at") * 100 / (100 - EDITS)) * EDITS / 100)
-    return ranked.withColumn("__there", there).filter(F.col("__rank") <= F.col("__there") - size + most + AGREE)
+    ranked = ranked.withColumn("__most", F.max("__rank").over(W.partitionBy("key")) - size + most + AGREE)
+    return ranked.filter((F.col("__rank") <= F.col("__most")) & (F.col("__most") >= AGREE))
 
 
-def _met(blocks: DataFrame, windows: DataFrame, agree: int) -> DataFrame:
-    """(t_key, h_key, edits): texts that agree in 1 or 2 segments no farther apart, and in length no farther, than the edits allowed."""
-    t = blocks.select("block", F.col("key").alias("t_key"), F.col("at").alias("t_at"))
-    h = windows.select("block", F.col("key").alias("h_key"), F.col("at").alias("h_at"))
+def _met(blocks: DataFrame, windows: DataFrame) -> DataFrame:
+    """(t_key, h_key, edits): texts that agree in AGREE segments no farther apart, and in length and short fingerprint no farther, than the edits allowed."""
+    side = lambda df, x: df.select("block", *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", *SHORT)])
     edits = F.floor(F.greatest(_size("t_at"), _size("h_at")) * EDITS / 100)
-    met = t.join(h, "block").filter((F.abs(_place("t_at") - _place("h_at")) <= edits) & (F.abs(_size("t_at") - _size("h_at")) <= edits) & (F.col("t_key") != F.col("h_key")))
+    apart = sum((F.bit_count(F.col(f"t_{j}").bitwiseXOR(F.col(f"h_{j}"))) for j in SHORT), F.lit(0))
+    near = (apart <= 2 * edits) & (F.abs(_size("t_at") - _size("h_at")) <= edits) & (F.abs(_place("t_at") - _place("h_at")) <= edits) & (F.col("t_key") != F.col("h_key"))
+    met = side(blocks, "t").join(side(windows, "h"), "block").filter(near)
     # One shuffle by t_key serves to drop repeated pairs and to fetch the fingerprint.
     met = met.select("t_key", "h_key", "t_at", edits.alias("edits")).repartition("t_key")
-    if agree == 1:
-        return met.drop("t_at").dropDuplicates(["t_key", "h_key"])
     return met.groupBy("t_key", "h_key").agg(F.first("edits").alias("edits"), F.min("t_at").alias("a"), F.max("t_at").alias("b")).filter("a < b").drop("a", "b")
 
 
@@ -235,7 +220,7 @@ def overlaps(samples: DataFrame) -> DataFrame:
     keys = F.array_compact(F.concat(F.array(named("d:", F.col("doc"))), F.transform("images", lambda x: named("i:", x)), F.array(named("t:", F.hex("md5")))))
     exact = materialize(rows.select("id", "held", F.explode_outer(keys).alias("key")).filter("key IS NOT NULL").distinct())
     texts = rows.filter(F.col("gt").isNotNull()).groupBy("gt").agg(F.first("md5").alias("md5"), F.bool_or(~F.col("held")).alias("in_train"), F.bool_or("held").alias("in_held"), F.count("*").alias("n"))
-    texts = materialize(texts.withColumn("key", F.xxhash64("gt")).withColumn("bits", F.pandas_udf(_fingerprints, ", ".join(f"{w} bigint" for w in WORDS))("gt")))
+    texts = materialize(texts.withColumn("key", F.xxhash64("gt")).withColumn("bits", F.pandas_udf(_fingerprints, ", ".join(f"{w} bigint" for w in (*WORDS, *SHORT)))("gt")))
     near = materialize(near_texts(texts))
     # A pair of near texts is a key of its own, which the samples of both texts share.
     ends = near.select(F.posexplode(F.array("train", "held")).alias("end", "md5"), F.unhex(F.md5(F.concat("train", "held"))).alias("pair"))

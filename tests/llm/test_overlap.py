@@ -73,6 +73,27 @@ def test_recall_at_the_limit(spark):
     assert len(want) > 200 and len(want - got) <= 0.01 * len(want)
 
 
+def test_rarest_segments_of_a_stranger(spark):
+    """A train text with 4 edits against a hot group of near copies; one unrelated held-out text shares just the 28 edited characters."""
+    rng = random.Random(8)
+    base = "".join(rng.choices("abcdefghijklmnop", k=200))
+    copies = [base[:190] + f"{i:02}" + base[192:] for i in range(50)]
+    train = base[:56] + "".join("Z" if k % 7 == 3 else c for k, c in enumerate(base[56:84])) + base[84:]
+    stranger = "X" * 56 + train[56:84] + "Y" * 116
+    rows = [("t", "train", "s", None, None, None, train, 1, "")] + [(f"h{i:02}", "test", "s", None, None, None, c, 1, "") for i, c in enumerate([*copies, stranger])]
+    got = {tuple(r) for r in o.overlaps(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == brute(rows) == {("t", f"h{i:02}") for i in range(50)}
+
+
+def test_short_fingerprint_radius():
+    rng = random.Random(3)
+    a = ["".join(rng.choices("abcdefgh ", k=100)) * rng.choice([1, 1, 9]) for _ in range(200)]
+    b = [edited(rng, s, 9) for s in a]
+    x, y = (o._fingerprints(s)[list(o.SHORT)].to_numpy().tolist() for s in (a, b))
+    apart = [sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(u, v)) for u, v in zip(x, y)]
+    assert max(apart) > 0 and all(d <= 2 * 9 for d in apart)
+
+
 def test_hot_keys_are_salted(spark, monkeypatch):
     monkeypatch.setattr(o, "ROWS_PER_SALT", 10)
     rows = [(f"t{i}", None, "s", "hot", None, None, None, 0, "") for i in range(90)] + [(f"h{i}", "val", "s", "hot", None, None, None, 0, "") for i in range(35)]
