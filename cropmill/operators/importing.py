@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cropmill.config import SPLITS, TASKS
 from cropmill.functions import grid, text
 from cropmill.functions.ordering import hash_split
-from cropmill.operators.isolate import isolate
+from cropmill.operators.isolate import identities, isolate
 from cropmill.sources.tables import materialize
 
 #: The prompts of SFT records and the task each stands for.
@@ -147,7 +147,7 @@ def import_rows(rows: DataFrame, config: dict, order: list[Column], excluded: Da
     again = F.col("import_error").isNull() & (F.row_number().over(by_id) > 1)
     made = made.withColumn("import_error", F.when(again, "duplicate id").otherwise(F.col("import_error")))
     held = made.filter(F.col("split") != "train")
-    guards = held if excluded is None else held.unionByName(excluded, allowMissingColumns=True)
+    guards = held if excluded is None else identities(held).unionByName(identities(excluded), allowMissingColumns=True)
     good = isolate(made.filter(F.col("import_error").isNull()).drop("import_error"), order, guards)
     bad = made.filter(F.col("import_error").isNotNull()).withColumn("reason", F.concat(F.lit("import_error: "), "import_error")).withColumn("duplicate_of", F.lit(None).cast("string")).drop("import_error")
     return good.unionByName(bad)

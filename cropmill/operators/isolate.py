@@ -27,6 +27,14 @@ def identity_keys(df: DataFrame) -> Column:
     return F.array_distinct(F.array_compact(F.array(*each))) if each else F.array().cast("array<struct<kind:string,value:string>>")
 
 
+def identities(df: DataFrame) -> DataFrame:
+    """The identity columns that a table has, as text, so that tables of different types can be put together; the number 0 names nothing."""
+    kinds = dict(df.dtypes)
+    names = [c for of in IDENTITY.values() for c in of if c in kinds]
+    number = lambda c: kinds[c] in ("int", "bigint", "smallint", "tinyint")
+    return df.select(*[(F.nullif(F.col(c), F.lit(0)) if number(c) else F.col(c)).cast("string").alias(c) for c in names])
+
+
 def is_train(df: DataFrame) -> Column:
     return F.coalesce(F.col("split"), F.lit("train")) == "train" if "split" in df.columns else F.lit(True)
 

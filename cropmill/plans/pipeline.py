@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cropmill.operators import importing, inference, mine, pairs, report, score
+from cropmill.operators import importing, inference, isolate, mine, pairs, report, score
 from cropmill.sources import files
 from cropmill.sources.tables import materialize
 
@@ -16,8 +17,46 @@ SHORTLIST = 3
 ORDER = ["_ord"]
 
 
+def _image(rows: DataFrame) -> Column:
+    return F.nullif(F.col("image"), F.lit("")) if "image" in rows.columns else F.lit(None).cast("string")
+
+
+def _listed(rows: DataFrame) -> Column:
+    """The image_url of every entry of image_info."""
+    kind = rows.schema["image_info"].dataType if "image_info" in rows.columns else None
+    there = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType) and "image_url" in kind.elementType.names
+    return F.coalesce(F.col("image_info.image_url") if there else F.array().cast("array<string>"), F.array().cast("array<string>"))
+
+
+def _hashes(paths: DataFrame, base: str) -> DataFrame:
+    """(paths) -> image_hash, pixel_hash and image_error of each."""
+    each = paths.select(F.explode_outer(F.array_distinct(F.array_compact("paths"))).alias("image")).filter("image != ''").distinct()
+    return materialize(files.with_image_hashes(each, base))
+
+
+def guards(rows: DataFrame, config: dict, base: str) -> DataFrame:
+    """Identities that train rows may not share, beside those of the samples: every image of the held-out records, valid or not, and the rows of data.exclude_manifests.
+
+    Images of a manifest start from its folder and are hashed where no pixel_hash is given; one that can't be read is an error, as it would guard nothing.
+    """
+    held = rows.filter(~isolate.is_train(rows))
+    out = _hashes(held.select(F.concat(F.array(_image(held)), _listed(held)).alias("paths")), base).select("image_hash", "pixel_hash")
+    for path in config["data"]["exclude_manifests"]:
+        manifest = files.read_rows(rows.sparkSession, str(path))
+        image = _image(manifest)
+        known = F.coalesce(F.col("pixel_hash").cast("string"), F.lit("")) != "" if "pixel_hash" in manifest.columns else F.lit(False)
+        paths = F.when(image.isNull(), _listed(manifest)).when(~known, F.array(image))
+        hashed = _hashes(manifest.select(paths.alias("paths")), str(Path(path).expanduser().resolve().parent))
+        if lost := hashed.filter("pixel_hash IS NULL").select("image", "image_error").take(1):
+            raise ValueError(f"{path}: {lost[0].image}: {lost[0].image_error}")
+        out = out.unionByName(hashed.select("image_hash", "pixel_hash"), allowMissingColumns=True).unionByName(isolate.identities(manifest), allowMissingColumns=True)
+    return out
+
+
 def convert(raw: DataFrame, config: dict, base: str, excluded: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(samples, rejected with reason) from raw records, SFT records included."""
+    """(samples, rejected with reason) from raw records, SFT records included; no train sample shares a document or image with held-out or excluded data."""
+    more = guards(importing.map_fields(raw, config["fields"]), config, base)
+    excluded = more if excluded is None else more.unionByName(isolate.identities(excluded), allowMissingColumns=True)
     rows = importing.adapt_sft(raw) if {"image_info", "text_info"} <= set(raw.columns) else raw
     rows = materialize(files.with_image_hashes(importing.map_fields(rows, config["fields"]), base))
     out = materialize(importing.import_rows(rows, config, ORDER, excluded))

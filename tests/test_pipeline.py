@@ -66,6 +66,28 @@ def no_pillow(f):
     return lambda rows, base, column="image": f(rows, base, column).withColumn("pixel_hash", F.col("image_hash")).withColumn("image_error", F.when(F.col("image_hash").isNull(), F.col("image_error")))
 
 
+def test_manifests_and_broken_held_out_records_guard(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "with_image_hashes", no_pillow(files.with_image_hashes))
+    sub = tmp_path / "sub"
+    sub.mkdir()
+    for i in range(6):
+        (tmp_path / f"{i}.png").write_bytes(f"image {i}".encode())
+    (sub / "other.png").write_bytes(b"image 3")
+    sft = lambda ident, images, split, tag="mask": {"id": ident, "split": split, "document_id": f"d-{ident}", "image_info": [{"image_url": x, "matched_text_index": 0} for x in images], "text_info": [{"text": "OCR:", "tag": tag}, {"text": "words", "tag": "no_mask"}]}
+    records = [sft(f"r{i}", [f"{i}.png"], "train") for i in range(6)] + [sft("several", ["0.png", "1.png"], "test"), sft("tag", ["2.png"], "val", "wrong"), sft("broken_train", ["5.png"], "train", "wrong")]
+    (tmp_path / "in.jsonl").write_text("".join(json.dumps(r) + "\n" for r in records))
+    (sub / "m.jsonl").write_text(json.dumps({"image": "other.png"}) + "\n" + json.dumps({"image": "gone.png", "pixel_hash": "abc"}) + "\n")
+    (sub / "n.json").write_text(json.dumps([{"document_id": "d-r4"}, {"document_id": "77"}]))
+    (sub / "k.jsonl").write_text(json.dumps({"document_id": 77, "image_info": [{"image_url": "other.png"}]}) + "\n")
+    raw = files.read_rows(spark, str(tmp_path / "in.jsonl"))
+    leaks = lambda *m: {r.id for r in pipeline.convert(raw, config.load({"data": {"exclude_manifests": [str(sub / x) for x in m]}}), str(tmp_path))[1].filter("reason = 'evaluation_overlap'").collect()}
+    assert leaks() == {"r0", "r1", "r2"}
+    assert leaks("m.jsonl", "n.json", "k.jsonl") == {"r0", "r1", "r2", "r3", "r4"}
+    (sub / "lost.jsonl").write_text(json.dumps({"image": "gone.png"}) + "\n")
+    with pytest.raises(ValueError, match="gone.png"):
+        leaks("lost.jsonl")
+
+
 def test_commands(spark, raw, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "with_image_hashes", no_pillow(files.with_image_hashes))
     cli.main(["convert", "-i", str(raw), "-o", str(tmp_path / "c")])
