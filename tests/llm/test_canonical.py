@@ -63,3 +63,12 @@ def test_equal_answers_and_texts(spark):
     texts = {(r.id, r.candidate_id): r.canonical for r in c.canonical_texts(df).collect()}
     assert texts["a", "c0"] == texts["a", None] == "x 1" and texts["e", "c0"] == "" and ("b", None) not in texts and ("a", "c3") not in texts
     assert c.equal_answers(df.limit(0)).count() == 0
+
+
+def test_final_line_terminators_are_not_stable(spark):
+    ends = ["\n", "\r", "\r\n", chr(0x85), chr(0x2028), chr(0x2029)]
+    rows = [(f"r{i}", f"abc{e}", [("c0", "abc\n")], 1) for i, e in enumerate(ends)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    texts = {r.id: r.canonical for r in c.canonical_texts(df).filter("candidate_id IS NULL").collect()}
+    assert texts == {f"r{i}": c.canonical(f"abc{e}") for i, e in enumerate(ends)}
+    assert {r[0] for r in c.equal_answers(df).collect()} == {f"r{i}" for i, e in enumerate(ends) if c.canonical(f"abc{e}") == "abc\n" and e != "\n"} >= {"r1", "r2"}
