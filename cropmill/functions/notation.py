@@ -39,8 +39,8 @@ def record_id(c: Column) -> Column:
 
 
 def content_hash(c: Column) -> Column:
-    """Hex digests: lower case, without the algorithm's name; all zeros is a placeholder."""
-    bare = F.regexp_replace(_plain(c), r"^(?:sha-?256|sha-?1|md5)\s*[:=]\s*", "")
+    """Hex digests: lower case, without the algorithm's name and a leading 0x; all zeros is a placeholder."""
+    bare = F.regexp_replace(_plain(c), r"^(?:(?:sha-?256|sha-?1|md5)\s*[:=]\s*)?(?:0x)?", "")
     return F.when(~bare.rlike(r"^0+$"), _known(bare))
 
 

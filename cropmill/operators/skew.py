@@ -30,3 +30,16 @@ def lookup(rows: DataFrame, side: DataFrame, key: str, hot: DataFrame) -> DataFr
 def salts(n: Column, most: int) -> Column:
     """Pieces into which a key of n rows is cut."""
     return F.greatest(F.lit(1), F.ceil(n / F.lit(float(most)))).cast("int")
+
+
+def spread(rows: DataFrame, side: DataFrame, key: str, hot: DataFrame, by: list[str], n: str = "n", most: int = LEAST_HOT) -> DataFrame:
+    """rows inner join side on `key`, where `side` may have any number of rows a key, and wide ones.
+
+    hot: (key, n) of at most SHARE keys, which alone is broadcast. The rows of a hot key are cut into n / most pieces by
+    a hash of the columns `by`, and what `side` has for it goes to every piece, so no task holds a whole hot key.
+    """
+    cut = F.broadcast(hot.select(F.col(key).alias("__hot"), salts(F.col(n), most).alias("__st")))
+    at = lambda df: df.join(cut, F.col(key) == F.col("__hot"), "left").withColumn("__st", F.coalesce("__st", F.lit(1)))
+    pieces = at(rows).withColumn("__salt", F.pmod(F.xxhash64(*by), F.col("__st")).cast("int")).drop("__hot", "__st")
+    copies = at(side).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__st") - 1))).drop("__hot", "__st")
+    return pieces.join(copies, [key, "__salt"]).drop("__salt")

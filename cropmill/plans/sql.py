@@ -24,8 +24,8 @@ def _doc(c: str) -> str:
 
 
 def _hash(c: str) -> str:
-    bare = rf"regexp_replace({_plain(c)}, '^(?:sha-?256|sha-?1|md5)\s*[:=]\s*', '')"
-    return f"CASE WHEN NOT regexp_matches({bare}, '^0+$') THEN {_known(bare)} END"
+    """The digest is the 64 hex digits, whatever stands around them."""
+    return f"nullif(nullif(regexp_extract(lower({c}), '[0-9a-f]{{64}}'), ''), repeat('0', 64))"
 
 
 _SIGNALS = ("base_score", "sft_score", "gt_error", "regression", "disagreement", "candidate_gap", "priority")

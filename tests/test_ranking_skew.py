@@ -27,3 +27,12 @@ def test_lookup_of_hot_keys(spark):
     assert [r.key for r in hot.collect()] == ["hot"]
     assert skew.lookup(rows, side, "key", hot).agg(F.count("*"), F.sum(F.when(F.col("key") == "hot", F.col("n")))).first()[:] == (1000, 160000)
     assert skew.lookup(rows.limit(0), side, "key", hot).count() == 0
+
+
+def test_spread_of_hot_keys(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("key"))
+    side = spark.createDataFrame([("hot", 1), ("hot", 2), ("999", 3), ("absent", 4), (None, 5)], "key string, v int")
+    hot = skew.hot_keys(rows.groupBy("key").agg(F.count("*").alias("n")), least=100)
+    got = skew.spread(rows, side, "key", hot, ["id"], most=50)
+    assert got.agg(F.count("*"), F.countDistinct("id", "v"), F.sum("v")).first()[:] == (801, 801, 400 * 3 + 3)
+    assert skew.spread(rows, side, "key", hot.limit(0), ["id"]).count() == 801 and skew.spread(rows.limit(0), side, "key", hot, ["id"]).count() == 0

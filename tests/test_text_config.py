@@ -62,3 +62,12 @@ def test_config_merge_and_secrets():
     assert c["mining"]["budget"] == 7 and c["mining"]["weights"] == [0.4, 0.4, 0.2] and config.DEFAULTS["mining"]["budget"] == 1000
     assert config.redact({"a": [{"API_Key": "x", "b": 1}]}) == {"a": [{"API_Key": "[REDACTED]", "b": 1}]}
     assert config.scrub({"k": ["my secret s3"]}, "s3") == {"k": ["my secret [REDACTED]"]} and config.scrub("x", "") == "x"
+
+
+def test_notation_of_hashes(spark):
+    h = "ab" * 32
+    forms = [h, h.upper(), f" {h} ", f"{h}\n", f"sha256:{h}", f"SHA-256: {h}", f"0x{h}", f"0X{h.upper()}", f"sha256:0x{h}"]
+    got = spark.createDataFrame([(x,) for x in forms], "h string").select(notation.content_hash(F.col("h")).alias("h")).distinct().collect()
+    assert [r.h for r in got] == [h]
+    none = spark.createDataFrame([(x,) for x in (None, "", "none", "0" * 64, "0x" + "0" * 64)], "h string").select(notation.content_hash(F.col("h")).alias("h"))
+    assert none.filter("h IS NOT NULL").count() == 0
