@@ -1,25 +1,24 @@
 """Records of held-out splits that also occur, exactly or almost, in the train split.
 
 Pairs come from shared keys (document, image) and from near-equal gt. For the latter every text gets a similarity code.
-Its blocks are hashes of segments of Q characters and of their rough position: a train text has those of its disjoint
-segments, a held-out text those of all its windows, so a block outlives edits elsewhere and shifts by them. Blocks are
-joined across the splits, of each train text as many of the rarest ones that occur in a held-out text as make it certain
-to meet every partner: with t edits at most t segments are lost, so of e segments that occur, of s in all, AGREE of the
-e - s + t + AGREE rarest are left, and only pairs with as many are looked at. Blocks that an edit made occur nowhere,
-which leaves the surviving ones and few more; a text with fewer than s - t of them has no partner.
-Pairs that agree in a block are held against a bit fingerprint (counts of 32 groups of characters in unary code, of which an edit flips at
-most two bits, so the Hamming radius of t edits is 2t), before any shuffle against its counts modulo 8 in a ring code of
-the same radius, and are then verified on their texts by edit distance.
+Its blocks are hashes of segments of Q characters and of their rough position: a train text has those of t + 1 disjoint
+segments, a held-out text those of all its windows. t edits touch at most t of t + 1 segments, so any partner has one of
+them unchanged, at most t characters away, and no pair is lost. Which t + 1 segments a text shows is free, so a
+dynamic program takes those that are rarest among the held-out texts, by counts in a table of fixed size.
+
+Texts that agree in a block are held against a bit fingerprint: counts of GROUPS groups of characters modulo 8, as a ring
+code of 4 bits each, of which an edit flips at most two. Left and right of the block it counts apart, so the Hamming
+radius of t edits, 2t, holds for the sum of both sides. This happens in the join, before anything is shuffled again; what
+is left is verified on the texts by edit distance.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropmill.functions import notation
@@ -28,106 +27,203 @@ from cropmill.sources.tables import materialize
 
 #: Least length of a gt that takes part, and the edits allowed in 100 characters of the longer one.
 LEAST, EDITS = 80, 10
-#: Characters of a segment, and width of a position.
-Q, WIDTH = 7, 64
-#: Segments that agree in any pair within the limit: at least this many are left of a text of LEAST characters or more.
-AGREE = 2
+#: Characters of a segment.
+Q = 6
+#: The table of counts: cells, and cells a row of it when it is summed. The driver and each task hold it, 4 MB.
+CELL_BITS, PART = 19, 4096
+#: Characters that the dynamic program looks at together, at most twice as many; the number of such pieces side by side.
+PIECE, SIDE_BY_SIDE = 128, 1024
+#: Characters whose arrays are held at once (a longer text is held whole).
+AT_ONCE = 2_000_000
+#: Groups of characters in the fingerprint, 4 bits each in a long of which the sign stays free.
+GROUPS = 15
 #: Rows of a key that one task joins with as many of the other side.
 ROWS_PER_SALT = 5_000
 
 
-def _codes(points: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Code blocks of the windows of Q characters that start at `at`."""
-    h = np.zeros(len(at), np.uint64)
-    for k in range(Q):
-        h = (h ^ points[at + k]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
-    return h
-
-
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-
-
-def _tau(n: int) -> int:
+def _tau(n: np.ndarray | int) -> np.ndarray | int:
     """Most edits between a text of n characters and any text it may pair with."""
     return n * 100 // (100 - EDITS) * EDITS // 100
 
 
-def _blocks(codes: np.ndarray, place: np.ndarray) -> np.ndarray:
-    h = (codes ^ place.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-    return (h ^ (h >> np.uint64(32))).view(np.int64)
-
-
-#: at: position x 2^32 + length of the text.
-BLOCKS = "block bigint, key bigint, at bigint"
-#: The fingerprint modulo 8, in two longs.
-SHORT = ("j0", "j1")
-
-
-def _frame(parts: list[tuple[int, np.ndarray, np.ndarray, int]]) -> pd.DataFrame:
-    """[(key, blocks, positions, length)] -> rows."""
-    if not parts:
-        return pd.DataFrame({"block": [], "key": [], "at": []}).astype("int64")
-    keys = np.repeat(np.array([k for k, *_ in parts], np.int64), [len(b) for _, b, *_ in parts])
-    return pd.DataFrame({"block": np.concatenate([b for _, b, *_ in parts]), "key": keys, "at": np.concatenate([(x << 32) + n for *_, x, n in parts])})
-
-
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Held-out texts -> the blocks of all windows, with the short fingerprint of the text."""
+class _Texts:
+    """Texts laid end to end: their characters, where each begins, its length, and the hash of the Q characters from each place on."""
+
+    def __init__(self, keys: list[int], texts: list[str]) -> None:
+        each = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+        self.keys, self.n = np.array(keys, np.int64), np.array([len(p) for p in each], np.int64)
+        self.start = np.cumsum(self.n) - self.n
+        points = np.concatenate([*each, np.zeros(Q, np.uint32)]).astype(np.uint64)
+        self.group = ((points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(GROUPS)
+        m = len(points) - Q
+        h = np.zeros(m, np.uint64)
+        for k in range(Q):
+            h = (h ^ points[k : k + m]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        self.hash = h
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(text, position) of every window of Q characters."""
+        text = np.repeat(np.arange(len(self.n)), self.n)
+        at = np.arange(len(text)) - self.start[text]
+        whole = at <= self.n[text] - Q
+        return text[whole], at[whole]
+
+    def cells(self, places: np.ndarray) -> np.ndarray:
+        return (self.hash[places] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+    def counts(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprints of what stands left of each position, and of the whole text."""
+        left, total = np.zeros(len(text), np.int64), np.zeros(len(self.n), np.int64)
+        for g in range(GROUPS):
+            # Sums modulo 256 keep what is counted modulo 8.
+            c = np.concatenate([np.zeros(1, np.uint8), np.cumsum(self.group == g, dtype=np.uint8)])
+            first = c[self.start]
+            left |= ((c[self.start[text] + at] - first[text]) & 7).astype(np.int64) << (4 * g)
+            total |= ((c[self.start + self.n] - first) & 7).astype(np.int64) << (4 * g)
+        return left, total[text]
+
+
+def _slices(batches: Iterator[pd.DataFrame], keep: Callable[[pd.DataFrame], dict] = lambda b: {}) -> Iterator[tuple[_Texts, dict]]:
+    """Batches of (key, gt, ...) in slices of AT_ONCE characters."""
     for batch in batches:
-        parts = []
-        for key, text in zip(batch["key"], batch["gt"]):
-            p = _points(text)
-            at = np.arange(len(p) - Q + 1)
-            parts.append((key, _blocks(_codes(p, at), at // WIDTH), at, len(p)))
-        times = [len(b) for _, b, *_ in parts]
-        yield _frame(parts).assign(**{j: np.repeat(batch[j].to_numpy(np.int64), times) for j in SHORT})
+        if not len(batch):
+            continue
+        ends = batch["gt"].str.len().cumsum() // AT_ONCE
+        for _, part in batch.groupby(ends.to_numpy(), sort=True):
+            yield _Texts(part["key"].tolist(), part["gt"].tolist()), keep(part)
 
 
-def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Train texts -> the blocks of their segments, at each rough position that edits may move them to."""
-    for batch in batches:
-        parts = []
-        for key, text in zip(batch["key"], batch["gt"]):
-            p = _points(text)
-            at, tau = np.arange(0, len(p) - Q + 1, Q), _tau(len(p))
-            codes, low, high = _codes(p, at), np.maximum(at - tau, 0) // WIDTH, (at + tau) // WIDTH
-            for place in range(int((high - low).max()) + 1):
-                there = low + place <= high
-                parts.append((key, _blocks(codes[there], (low + place)[there]), at[there], len(p)))
-        yield _frame(parts)
+def _level(n: np.ndarray) -> np.ndarray:
+    """floor(log2(n)): texts meet within a level, whose places are as wide as half its least length."""
+    return np.frexp(n.astype(np.float64))[1].astype(np.int64) - 1
 
 
-#: The fingerprint: 32 counts of a byte, 255 at most, in four longs.
-WORDS = ("w0", "w1", "w2", "w3")
+def _blocks(hashes: np.ndarray, place: np.ndarray, level: np.ndarray) -> np.ndarray:
+    h = (hashes ^ (place * 64 + level).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
+
 
+#: at: position x 2^32 + length of the text. before, whole: fingerprints.
+BLOCKS = "block bigint, key bigint, at bigint, before bigint, whole bigint"
 
-def _bits(text: str) -> tuple[int, ...]:
-    """The fingerprint of a text. Unary, two such codes differ in sum |a - b| bits."""
-    c = np.bincount(((_points(text) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(59)).astype(np.int64), minlength=8 * len(WORDS))
-    return tuple(int(x) for x in np.minimum(c, 255).astype(np.uint8).view(np.int64))
 
+def _rows(t: _Texts, block: np.ndarray, text: np.ndarray, at: np.ndarray, marks: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame({"block": block, "key": t.keys[text], "at": (at << 32) + t.n[text], "before": marks[0], "whole": marks[1]})
 
-#: 0 to 7 so that neighbours, 7 and 0 too, differ in one bit: a count that an edit changes by 1 flips one.
-_RING = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000], np.uint8)
 
+def _shown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Held-out texts -> the blocks of all windows."""
+    for t, _ in _slices(batches):
+        text, at = t.windows()
+        level = _level(t.n)[text]
+        yield _rows(t, _blocks(t.hash[t.start[text] + at], at // (1 << level - 1), level), text, at, t.counts(text, at))
 
-def _fingerprints(s: pd.Series) -> pd.DataFrame:
-    words = np.array([_bits(t) for t in s], np.int64).reshape(-1, len(WORDS))
-    ring = _RING[words.view(np.uint8) % 8]
-    short = np.ascontiguousarray(ring[:, ::2] << 4 | ring[:, 1::2]).view(np.int64)
-    return pd.DataFrame(np.hstack([words, short]), columns=[*WORDS, *SHORT])
 
+def _placed(t: _Texts, text: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(which, blocks): the blocks of segments of train texts, at each level and rough position where a partner may have them."""
+    low, high = _level(-(-t.n * (100 - EDITS) // 100))[text], _level(t.n * 100 // (100 - EDITS))[text]
+    hashes, tau = t.hash[t.start[text] + at], _tau(t.n)[text]
+    for level, meant in ((low, np.ones(len(text), bool)), (high, high > low)):
+        width = 1 << level - 1
+        first, last = np.maximum(at - tau, 0) // width, (at + tau) // width
+        for k in range(int((last - first).max(initial=-1)) + 1):
+            which = np.flatnonzero(meant & (first + k <= last))
+            yield which, _blocks(hashes[which], (first + k)[which], level[which])
 
-def _hamming(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-    x, y = (np.ascontiguousarray(s[list(WORDS)].to_numpy(np.int64)).view(np.uint8).astype(np.int16) for s in (a, b))
-    return pd.Series(np.abs(x - y).sum(1, dtype=np.int32))
 
+def rarest(t: _Texts, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, position) of t + 1 or more disjoint segments of each text whose counts have the least sum.
 
-def hamming(a: str, b: str) -> Column:
-    """Bits in which two fingerprints (structs of longs) differ in unary code. As an expression of 32 terms it would be too long for the JVM to compile."""
-    return F.pandas_udf(_hamming, "int")(F.col(a), F.col(b))
+    Exact within pieces of PIECE characters or up to twice as many, each of which gives its part of the segments, so the
+    cost is linear in the length of a text.
+    """
+    pieces = np.maximum(1, t.n // PIECE)
+    text = np.repeat(np.arange(len(t.n)), pieces)
+    k = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin, end = k * t.n[text] // pieces[text], (k + 1) * t.n[text] // pieces[text]
+    size, wanted = end - begin, -(-(end - begin) * (_tau(t.n)[text] + 1) // t.n[text])
+    cost = counts[t.cells(slice(None))].astype(np.float32) + 1
+    order, out = np.argsort(size, kind="stable"), []
+    for s in range(0, len(order), SIDE_BY_SIDE):
+        o = order[s : s + SIDE_BY_SIDE]
+        long, most, every = int(size[o].max()), int(wanted[o].max()), np.arange(len(o))
+        c = cost[np.minimum((t.start[text[o]] + begin[o])[:, None] + np.arange(long), len(cost) - 1)]
+        c[np.arange(long) > (size[o] - Q)[:, None]] = np.inf
+        # best[i, x, j]: least sum of j disjoint segments among the first i characters of piece x.
+        best = np.full((long + 1, len(o), most + 1), np.inf, np.float32)
+        best[:, :, 0] = 0
+        for i in range(Q, long + 1):
+            best[i] = best[i - 1]
+            np.minimum(best[i, :, 1:], best[i - Q, :, :-1] + c[:, i - Q, None], out=best[i, :, 1:])
+        i, left = np.full(len(o), long), wanted[o].copy()
+        while (x := every[left > 0]).size:
+            taken = best[i[x], x, left[x]] != best[i[x] - 1, x, left[x]]
+            hit = x[taken]
+            i[hit] -= Q
+            left[hit] -= 1
+            out.append((text[o[hit]], begin[o[hit]] + i[hit]))
+            i[x[~taken]] -= 1
+    return np.concatenate([a for a, _ in out]), np.concatenate([b for _, b in out])
+
+
+def _counted(texts: DataFrame) -> np.ndarray:
+    """How many windows of the texts fall into each of 2^CELL_BITS cells. Tasks send their table in parts, which are summed by part."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.zeros(1 << CELL_BITS, np.int64)
+        for t, _ in _slices(batches):
+            text, at = t.windows()
+            table += np.bincount(t.cells(t.start[text] + at), minlength=len(table))
+        if table.any():
+            yield pd.DataFrame({"part": np.arange(len(table) // PART), "counts": [x.tobytes() for x in table.reshape(-1, PART)]})
+
+    def total(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, counts in zip(b["part"], b["counts"]):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield pd.DataFrame({"part": list(sums), "counts": [x.tobytes() for x in sums.values()]}).astype({"part": "int64"})
+
+    kind = "part bigint, counts binary"
+    parts = texts.select("key", "gt").mapInPandas(partial, kind).repartition("part").mapInPandas(total, kind).collect()  # 4 MB at any size
+    table = np.zeros(1 << CELL_BITS, np.int64)
+    for r in parts:
+        table[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], np.int64)
+    return table
+
+
+def _chosen(texts: DataFrame, counts: np.ndarray) -> DataFrame:
+    """Rows of two kinds: of each train text the positions of its segments (key, gt, places), and of blocks that many held-out windows may have (block, t, h) how many train rows and at most how many held-out ones they have."""
+    shared = texts.sparkSession.sparkContext.broadcast(counts)  # 4 MB
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t, gt in _slices(batches, lambda b: {"gt": b["gt"].to_numpy()}):
+            text, at = rarest(t, shared.value)
+            order = np.lexsort((at, text))
+            text, at = text[order], at[order]
+            places = np.split(at.astype(np.int32), np.cumsum(np.bincount(text, minlength=len(t.n)))[:-1])
+            yield pd.DataFrame({"key": t.keys, "gt": gt["gt"], "places": places, "block": pd.array([None] * len(t.n), "Int64"), "t": pd.array([None] * len(t.n), "Int64"), "h": pd.array([None] * len(t.n), "Int64")})
+            held = shared.value[t.cells(t.start[text] + at)]
+            often = held > ROWS_PER_SALT
+            if often.any():
+                text, at, held = text[often], at[often], held[often]
+                found = [(b, held[which]) for which, b in _placed(t, text, at)]
+                b, h = (np.concatenate(x) for x in zip(*found))
+                block, first, n = np.unique(b, return_index=True, return_counts=True)
+                none = [None] * len(block)
+                yield pd.DataFrame({"key": pd.array(none, "Int64"), "gt": none, "places": none, "block": pd.array(block, "Int64"), "t": pd.array(n, "Int64"), "h": pd.array(h[first], "Int64")})
+
+    return texts.select("key", "gt").mapInPandas(run, "key bigint, gt string, places array<int>, block bigint, t bigint, h bigint")
+
+
+def _sought(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Train texts with the places chosen -> the blocks of these segments."""
+    for t, more in _slices(batches, lambda b: {"places": b["places"].tolist()}):
+        text, at = np.repeat(np.arange(len(t.n)), [len(p) for p in more["places"]]), np.concatenate(more["places"]).astype(np.int64)
+        before, whole = t.counts(text, at)
+        for which, block in _placed(t, text, at):
+            yield _rows(t, block, text[which], at[which], (before[which], whole[which]))
 
 
 def close(a: Column, b: Column) -> Column:
@@ -136,16 +232,11 @@ def close(a: Column, b: Column) -> Column:
     return F.call_function("levenshtein", a, b, most) >= 0
 
 
-def near_texts(texts: DataFrame) -> DataFrame:
-    """(train, held): md5 of different gt texts within the limit.
-
-    texts: (key, md5, gt, bits, in_train, in_held), each gt once, of at least LEAST characters. Two texts of one 64-bit
-    key are both verified, so a collision loses nothing.
-    """
-    windows = texts.filter("in_held").select("key", "gt", *[f"bits.{j}" for j in SHORT]).mapInPandas(_windows, BLOCKS + "".join(f", {j} bigint" for j in SHORT))
-    segments = texts.filter("in_train").select("key", "gt").mapInPandas(_segments, BLOCKS)
-    blocks = _rarest(segments, windows).join(texts.filter("in_train").select("key", *[f"bits.{j}" for j in SHORT]), "key")
-    return _verified(_met(blocks, windows), texts).distinct()
+def _salted(rows: DataFrame, hot: DataFrame, own: str, other: str) -> DataFrame:
+    """Rows with salts a and b: hot blocks get one salt by the row's key and the other in every value; blocks not hot get 0."""
+    wide = rows.join(hot, rows["block"] == hot["__hot"], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("st", "sh")})
+    mine, each = F.pmod(F.xxhash64("key"), F.col(own)).cast("int"), F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+    return wide.withColumn("a", mine if own == "st" else each).withColumn("b", mine if own == "sh" else each).drop("__hot", "st", "sh")
 
 
 def _place(c: str) -> Column:
@@ -156,34 +247,68 @@ def _size(c: str) -> Column:
     return F.col(c).bitwiseAND(0xFFFFFFFF)
 
 
-def _rarest(segments: DataFrame, windows: DataFrame) -> DataFrame:
-    """Of each text as many of the rarest segments that occur in a held-out text as make AGREE hits of every partner certain; none of a text with too few to have a partner."""
-    found = segments.join(windows.groupBy("block").agg(F.count("*").alias("n")), "block").repartition("key")
-    found = found.withColumn("n", F.sum("n").over(W.partitionBy("key", "at")))
-    ranked = found.withColumn("__rank", F.dense_rank().over(W.partitionBy("key").orderBy("n", "at")))
-    size, most = F.floor(_size("at") / Q), F.floor(F.floor(_size("at") * 100 / (100 - EDITS)) * EDITS / 100)
-    ranked = ranked.withColumn("__most", F.max("__rank").over(W.partitionBy("key")) - size + most + AGREE)
-    return ranked.filter((F.col("__rank") <= F.col("__most")) & (F.col("__most") >= AGREE))
+#: Every fourth bit above a count of the fingerprint, and the counts themselves.
+_GUARD, _COUNTS = sum(8 << 4 * g for g in range(GROUPS)), sum(7 << 4 * g for g in range(GROUPS))
+_ONES = sum(1 << 4 * g for g in range(GROUPS))
+
+
+def _less(x: Column, y: Column) -> Column:
+    """x - y modulo 8 of all counts at once."""
+    return (x.bitwiseOR(F.lit(_GUARD)) - y).bitwiseAND(F.lit(_COUNTS))
+
+
+def _around(x: Column) -> Column:
+    """Of each difference modulo 8 the way round the ring that is shorter, summed by pairs of groups in bytes."""
+    over = F.shiftright(x, 2).bitwiseAND(F.lit(_ONES))
+    d = x.bitwiseXOR(F.shiftleft(over, 3) - over) + over
+    low = F.lit(0x0F0F0F0F0F0F0F0F)
+    return d.bitwiseAND(low) + F.shiftright(d, 4).bitwiseAND(low)
+
 
+def apart(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Bits in which the ring codes of two texts differ, left and right of a segment, each given as (before, whole)."""
+    s = _around(_less(a[0], b[0])) + _around(_less(_less(a[1], a[0]), _less(b[1], b[0])))
+    for shift, mask in ((8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF), (32, 0xFFFFFFFF)):
+        s = s.bitwiseAND(F.lit(mask)) + F.shiftright(s, shift).bitwiseAND(F.lit(mask))
+    return s
 
-def _met(blocks: DataFrame, windows: DataFrame) -> DataFrame:
-    """(t_key, h_key, edits): texts that agree in AGREE segments no farther apart, and in length and short fingerprint no farther, than the edits allowed."""
-    side = lambda df, x: df.select("block", *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", *SHORT)])
+
+def _met(sought: DataFrame, shown: DataFrame) -> DataFrame:
+    """(t_key, h_key): texts that agree in a segment and around it are no farther apart than the edits allowed."""
+    on = [c for c in sought.columns if c in ("block", "a", "b")]
+    side = lambda df, x: df.select(*on, *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", "before", "whole")])
     edits = F.floor(F.greatest(_size("t_at"), _size("h_at")) * EDITS / 100)
-    apart = sum((F.bit_count(F.col(f"t_{j}").bitwiseXOR(F.col(f"h_{j}"))) for j in SHORT), F.lit(0))
-    near = (apart <= 2 * edits) & (F.abs(_size("t_at") - _size("h_at")) <= edits) & (F.abs(_place("t_at") - _place("h_at")) <= edits) & (F.col("t_key") != F.col("h_key"))
-    met = side(blocks, "t").join(side(windows, "h"), "block").filter(near)
-    # One shuffle by t_key serves to drop repeated pairs and to fetch the fingerprint.
-    met = met.select("t_key", "h_key", "t_at", edits.alias("edits")).repartition("t_key")
-    return met.groupBy("t_key", "h_key").agg(F.first("edits").alias("edits"), F.min("t_at").alias("a"), F.max("t_at").alias("b")).filter("a < b").drop("a", "b")
+    left, right = F.abs(_place("t_at") - _place("h_at")), F.abs((_size("t_at") - _place("t_at")) - (_size("h_at") - _place("h_at")))
+    # A replaced character moves two counts, an inserted or deleted one moves one and the length.
+    flips = apart((F.col("t_before"), F.col("t_whole")), (F.col("h_before"), F.col("h_whole")))
+    near = (left + right <= edits) & (flips + left + right <= 2 * edits) & (F.col("t_key") != F.col("h_key"))
+    return side(sought, "t").join(side(shown, "h"), on).filter(near).select("t_key", "h_key").distinct()
+
+
+def near_texts(texts: DataFrame) -> DataFrame:
+    """(train, held): md5 of different gt texts within the limit.
+
+    texts: (key, md5, gt, in_train, in_held), each gt once, of at least LEAST characters. Two texts of one 64-bit key
+    are both verified, so a collision loses nothing. Blocks and texts with many partners are cut into pieces.
+    """
+    held = texts.filter("in_held")
+    made = materialize(_chosen(texts.filter("in_train"), _counted(held)))
+    sought = made.filter("key IS NOT NULL").select("key", "gt", "places").mapInPandas(_sought, BLOCKS)
+    shown = held.select("key", "gt").mapInPandas(_shown, BLOCKS)
+    often = materialize(made.filter("block IS NOT NULL").groupBy("block").agg(F.sum("t").alias("t"), F.max("h").alias("h")).withColumn("n", F.col("t").cast("double") * F.col("h")))
+    hot = skew.hot_keys(often, least=ROWS_PER_SALT**2)
+    hot = hot.select(F.col("block").alias("__hot"), skew.salts(F.col("t"), ROWS_PER_SALT).alias("st"), skew.salts(F.col("h"), ROWS_PER_SALT).alias("sh"))
+    if not hot.isEmpty():
+        sought, shown = _salted(sought, F.broadcast(hot), "st", "sh"), _salted(shown, F.broadcast(hot), "sh", "st")
+    return _verified(materialize(_met(sought, shown)), texts)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(train, held): the pairs within the radius of the fingerprint and then within the edit distance."""
-    side = lambda s, *cols: texts.filter(f"in_{s}").select(F.col("key").alias(f"{s[0]}_key"), *[F.col(c).alias(f"{s}_{c}") for c in cols])
-    alike = pairs.join(side("train", "bits"), "t_key").join(side("held", "bits"), "h_key").filter(hamming("train_bits", "held_bits") <= 2 * F.col("edits"))
-    both = alike.select("t_key", "h_key").distinct().join(side("train", "md5", "gt"), "t_key").join(side("held", "md5", "gt"), "h_key")
-    return both.filter((F.col("train_md5") != F.col("held_md5")) & close(F.col("train_gt"), F.col("held_gt"))).select(F.col("train_md5").alias("train"), F.col("held_md5").alias("held"))
+    """(train, held): the pairs within the edit distance."""
+    hot = lambda c: skew.hot_keys(pairs.groupBy(c).agg(F.count("*").alias("n")))
+    side = lambda s: texts.filter(f"in_{s}").select(F.col("key").alias(f"{s[0]}_key"), F.col("md5").alias(s), F.col("gt").alias(f"{s}_gt"))
+    both = skew.spread(skew.spread(pairs, side("train"), "t_key", hot("t_key"), ["h_key"]), side("held"), "h_key", hot("h_key"), ["t_key"])
+    return both.filter((F.col("train") != F.col("held")) & close(F.col("train_gt"), F.col("held_gt"))).select("train", "held").distinct()
 
 
 def _sides(keys: DataFrame) -> DataFrame:
@@ -220,14 +345,12 @@ def overlaps(samples: DataFrame) -> DataFrame:
     keys = F.array_compact(F.concat(F.array(named("d:", F.col("doc"))), F.transform("images", lambda x: named("i:", x)), F.array(named("t:", F.hex("md5")))))
     exact = materialize(rows.select("id", "held", F.explode_outer(keys).alias("key")).filter("key IS NOT NULL").distinct())
     texts = rows.filter(F.col("gt").isNotNull()).groupBy("gt").agg(F.first("md5").alias("md5"), F.bool_or(~F.col("held")).alias("in_train"), F.bool_or("held").alias("in_held"), F.count("*").alias("n"))
-    texts = materialize(texts.withColumn("key", F.xxhash64("gt")).withColumn("bits", F.pandas_udf(_fingerprints, ", ".join(f"{w} bigint" for w in (*WORDS, *SHORT)))("gt")))
+    texts = materialize(texts.withColumn("key", F.xxhash64("gt")))
     near = materialize(near_texts(texts))
     # A pair of near texts is a key of its own, which the samples of both texts share.
-    ends = near.select(F.posexplode(F.array("train", "held")).alias("end", "md5"), F.unhex(F.md5(F.concat("train", "held"))).alias("pair"))
-    pairs = lambda end: F.collect_set(F.when(F.col("end") == end, F.col("pair")))
-    wanted = ends.groupBy("md5").agg(pairs(0).alias("as_train"), pairs(1).alias("as_held"))
-    members = skew.lookup(rows.filter(F.col("md5").isNotNull()).select("id", "held", "md5"), wanted, "md5", skew.hot_keys(texts))
-    near_keys = members.select("id", "held", F.explode(F.when(F.col("held"), F.col("as_held")).otherwise(F.col("as_train"))).alias("key")).distinct()
+    ends = near.select(F.posexplode(F.array("train", "held")).alias("__end", "md5"), F.unhex(F.md5(F.concat("train", "held"))).alias("key"))
+    members = skew.spread(rows.filter(F.col("md5").isNotNull()).select("id", "held", "md5"), ends, "md5", skew.hot_keys(texts), ["id"])
+    near_keys = members.filter(F.col("held").cast("int") == F.col("__end")).select("id", "held", "key").distinct()
     return _sides(exact.unionByName(near_keys)).distinct()
 
 
