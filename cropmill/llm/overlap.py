@@ -6,10 +6,12 @@ segments, a held-out text those of all its windows. t edits touch at most t of t
 them unchanged, at most t characters away, and no pair is lost. Which t + 1 segments a text shows is free, so a
 dynamic program takes those that are rarest among the held-out texts, by counts in a table of fixed size.
 
-Texts that agree in a block are held against a bit fingerprint: counts of GROUPS groups of characters modulo 8, as a ring
-code of 4 bits each, of which an edit flips at most two. Left and right of the block it counts apart, so the Hamming
-radius of t edits, 2t, holds for the sum of both sides. This happens in the join, before anything is shuffled again; what
-is left is verified on the texts by edit distance.
+Texts that agree in a block are held against bit fingerprints: counts of groups of characters as ring codes, of which an
+edit flips at most two bits, so the Hamming radius of e edits is 2e. One covers the whole text; others cover a fixed number
+of characters from the segment on, the text taken as a ring. The segments cut that ring into t + 1 cells with t edits at
+most, so by the cycle lemma one cell has no edit and, from it on, any number of following cells has fewer edits than
+there are cells: near the segment the radius is a few bits. This happens in the join, before anything is shuffled again;
+what is left is verified on the texts by edit distance.
 """
 
 from __future__ import annotations
@@ -35,8 +37,12 @@ CELL_BITS, PART = 19, 4096
 PIECE, SIDE_BY_SIDE = 128, 1024
 #: Characters whose arrays are held at once (a longer text is held whole).
 AT_ONCE = 2_000_000
-#: Groups of characters in the fingerprint, 4 bits each in a long of which the sign stays free.
-GROUPS = 15
+#: Characters from a segment on that a fingerprint covers, all of them fewer than LEAST.
+NEAR, MIDDLE, FAR = 16, 32, 64
+#: Ring codes of 0 to 7 and of 0 to 3: neighbours, the last and 0 too, differ in one bit, so a count that an edit changes
+#: by 1 flips one.
+RING8 = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000], np.uint64)
+RING4 = np.array([0b00, 0b01, 0b11, 0b10], np.uint64)
 #: Rows of a key that one task joins with as many of the other side.
 ROWS_PER_SALT = 5_000
 
@@ -54,7 +60,8 @@ class _Texts:
         self.keys, self.n = np.array(keys, np.int64), np.array([len(p) for p in each], np.int64)
         self.start = np.cumsum(self.n) - self.n
         points = np.concatenate([*each, np.zeros(Q, np.uint32)]).astype(np.uint64)
-        self.group = ((points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(GROUPS)
+        # 32 groups of characters; a text and its first FAR characters again, so that it is a ring.
+        self.group = [((p.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(59)).astype(np.uint8) for p in each]
         m = len(points) - Q
         h = np.zeros(m, np.uint64)
         for k in range(Q):
@@ -72,16 +79,25 @@ class _Texts:
     def cells(self, places: np.ndarray) -> np.ndarray:
         return (self.hash[places] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    def counts(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Fingerprints of what stands left of each position, and of the whole text."""
-        left, total = np.zeros(len(text), np.int64), np.zeros(len(self.n), np.int64)
-        for g in range(GROUPS):
+    def codes(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Fingerprints from each position on, NEAR with MIDDLE and FAR, and of the whole text."""
+        group = np.concatenate([x for g in self.group for x in (g, g[:FAR])])
+        start = self.start + FAR * np.arange(len(self.n))
+        here = start[text] + at
+        close, far, whole = np.zeros(len(text), np.uint64), np.zeros(len(text), np.uint64), np.zeros(len(self.n), np.uint64)
+        for g in range(16):
+            even = np.zeros(len(group) + 1, np.uint8)
             # Sums modulo 256 keep what is counted modulo 8.
-            c = np.concatenate([np.zeros(1, np.uint8), np.cumsum(self.group == g, dtype=np.uint8)])
-            first = c[self.start]
-            left |= ((c[self.start[text] + at] - first[text]) & 7).astype(np.int64) << (4 * g)
-            total |= ((c[self.start + self.n] - first) & 7).astype(np.int64) << (4 * g)
-        return left, total[text]
+            np.cumsum(group == 2 * g, dtype=np.uint8, out=even[1:])
+            odd = np.zeros(len(group) + 1, np.uint8)
+            np.cumsum(group == 2 * g + 1, dtype=np.uint8, out=odd[1:])
+            both = even + odd
+            for k, c in enumerate((even, odd)):
+                close |= ((c[here + NEAR] - c[here]) & 1).astype(np.uint64) << np.uint64(32 + 2 * g + k)
+            close |= RING4[(both[here + MIDDLE] - both[here]) & 3] << np.uint64(2 * g)
+            far |= RING8[(both[here + FAR] - both[here]) & 7] << np.uint64(4 * g)
+            whole |= RING8[(both[start + self.n] - both[start]) & 7] << np.uint64(4 * g)
+        return close.view(np.int64), far.view(np.int64), whole.view(np.int64)[text]
 
 
 def _slices(batches: Iterator[pd.DataFrame], keep: Callable[[pd.DataFrame], dict] = lambda b: {}) -> Iterator[tuple[_Texts, dict]]:
@@ -104,12 +120,13 @@ def _blocks(hashes: np.ndarray, place: np.ndarray, level: np.ndarray) -> np.ndar
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-#: at: position x 2^32 + length of the text. before, whole: fingerprints.
-BLOCKS = "block bigint, key bigint, at bigint, before bigint, whole bigint"
+#: at: position x 2^32 + length of the text. close, far, whole: fingerprints. cells: the numbers of other segments within
+#: NEAR, MIDDLE and FAR characters from this one on, a byte each; 0 for held-out texts.
+BLOCKS = "block bigint, key bigint, at bigint, close bigint, far bigint, whole bigint, cells bigint"
 
 
-def _rows(t: _Texts, block: np.ndarray, text: np.ndarray, at: np.ndarray, marks: tuple[np.ndarray, np.ndarray]) -> pd.DataFrame:
-    return pd.DataFrame({"block": block, "key": t.keys[text], "at": (at << 32) + t.n[text], "before": marks[0], "whole": marks[1]})
+def _rows(t: _Texts, block: np.ndarray, text: np.ndarray, at: np.ndarray, codes: tuple[np.ndarray, ...], cells: np.ndarray | int = 0) -> pd.DataFrame:
+    return pd.DataFrame({"block": block, "key": t.keys[text], "at": (at << 32) + t.n[text], **dict(zip(("close", "far", "whole"), codes)), "cells": cells})
 
 
 def _shown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,7 +134,7 @@ def _shown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for t, _ in _slices(batches):
         text, at = t.windows()
         level = _level(t.n)[text]
-        yield _rows(t, _blocks(t.hash[t.start[text] + at], at // (1 << level - 1), level), text, at, t.counts(text, at))
+        yield _rows(t, _blocks(t.hash[t.start[text] + at], at // (1 << level - 1), level), text, at, t.codes(text, at))
 
 
 def _placed(t: _Texts, text: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -217,13 +234,21 @@ def _chosen(texts: DataFrame, counts: np.ndarray) -> DataFrame:
     return texts.select("key", "gt").mapInPandas(run, "key bigint, gt string, places array<int>, block bigint, t bigint, h bigint")
 
 
+def cells(t: _Texts, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each segment the other segments of its text that begin within NEAR, MIDDLE and FAR characters after it on the ring."""
+    apart = 2 * int(t.n.max()) + FAR
+    here = text * apart + at
+    ring = np.sort(np.concatenate([here, here + t.n[text]]))
+    return sum((np.searchsorted(ring, here + r, "left") - np.searchsorted(ring, here, "right")) << 8 * k for k, r in enumerate((NEAR, MIDDLE, FAR)))
+
+
 def _sought(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Train texts with the places chosen -> the blocks of these segments."""
     for t, more in _slices(batches, lambda b: {"places": b["places"].tolist()}):
         text, at = np.repeat(np.arange(len(t.n)), [len(p) for p in more["places"]]), np.concatenate(more["places"]).astype(np.int64)
-        before, whole = t.counts(text, at)
+        codes, others = t.codes(text, at), cells(t, text, at)
         for which, block in _placed(t, text, at):
-            yield _rows(t, block, text[which], at[which], (before[which], whole[which]))
+            yield _rows(t, block, text[which], at[which], tuple(c[which] for c in codes), others[which])
 
 
 def close(a: Column, b: Column) -> Column:
@@ -247,42 +272,19 @@ def _size(c: str) -> Column:
     return F.col(c).bitwiseAND(0xFFFFFFFF)
 
 
-#: Every fourth bit above a count of the fingerprint, and the counts themselves.
-_GUARD, _COUNTS = sum(8 << 4 * g for g in range(GROUPS)), sum(7 << 4 * g for g in range(GROUPS))
-_ONES = sum(1 << 4 * g for g in range(GROUPS))
-
-
-def _less(x: Column, y: Column) -> Column:
-    """x - y modulo 8 of all counts at once."""
-    return (x.bitwiseOR(F.lit(_GUARD)) - y).bitwiseAND(F.lit(_COUNTS))
-
-
-def _around(x: Column) -> Column:
-    """Of each difference modulo 8 the way round the ring that is shorter, summed by pairs of groups in bytes."""
-    over = F.shiftright(x, 2).bitwiseAND(F.lit(_ONES))
-    d = x.bitwiseXOR(F.shiftleft(over, 3) - over) + over
-    low = F.lit(0x0F0F0F0F0F0F0F0F)
-    return d.bitwiseAND(low) + F.shiftright(d, 4).bitwiseAND(low)
-
-
-def apart(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
-    """Bits in which the ring codes of two texts differ, left and right of a segment, each given as (before, whole)."""
-    s = _around(_less(a[0], b[0])) + _around(_less(_less(a[1], a[0]), _less(b[1], b[0])))
-    for shift, mask in ((8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF), (32, 0xFFFFFFFF)):
-        s = s.bitwiseAND(F.lit(mask)) + F.shiftright(s, shift).bitwiseAND(F.lit(mask))
-    return s
-
-
 def _met(sought: DataFrame, shown: DataFrame) -> DataFrame:
-    """(t_key, h_key): texts that agree in a segment and around it are no farther apart than the edits allowed."""
+    """(t_key, h_key): texts that agree in a segment, and from it on and as a whole are no farther apart than the edits allowed."""
     on = [c for c in sought.columns if c in ("block", "a", "b")]
-    side = lambda df, x: df.select(*on, *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", "before", "whole")])
+    side = lambda df, x, *more: df.select(*on, *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", "close", "far", "whole", *more)])
     edits = F.floor(F.greatest(_size("t_at"), _size("h_at")) * EDITS / 100)
     left, right = F.abs(_place("t_at") - _place("h_at")), F.abs((_size("t_at") - _place("t_at")) - (_size("h_at") - _place("h_at")))
-    # A replaced character moves two counts, an inserted or deleted one moves one and the length.
-    flips = apart((F.col("t_before"), F.col("t_whole")), (F.col("h_before"), F.col("h_whole")))
-    near = (left + right <= edits) & (flips + left + right <= 2 * edits) & (F.col("t_key") != F.col("h_key"))
-    return side(sought, "t").join(side(shown, "h"), on).filter(near).select("t_key", "h_key").distinct()
+    differ = lambda c: F.col(f"t_{c}").bitwiseXOR(F.col(f"h_{c}"))
+    most = lambda k: F.shiftright("t_cells", 8 * k).bitwiseAND(255) * 2
+    near = (
+        (F.bit_count(F.shiftrightunsigned(differ("close"), 32)) <= most(0)) & (F.bit_count(differ("close").bitwiseAND(0xFFFFFFFF)) <= most(1)) & (F.bit_count(differ("far")) <= most(2))
+        & (left + right <= edits) & (F.bit_count(differ("whole")) <= 2 * edits) & (F.col("t_key") != F.col("h_key"))
+    )
+    return side(sought, "t", "cells").join(side(shown, "h"), on).filter(near).select("t_key", "h_key").distinct()
 
 
 def near_texts(texts: DataFrame) -> DataFrame:

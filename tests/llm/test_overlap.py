@@ -130,23 +130,48 @@ def test_segments_chosen_are_the_rarest():
             assert sum(cost[x] for x in mine) == best[-1][k]
 
 
-def test_ring_code_radius(spark):
-    """The distance around a segment that both texts keep is at most two for each edit, and its SQL equals a loop."""
+def differ(a, b):
+    return ((int(a) ^ int(b)) & (1 << 64) - 1).bit_count()
+
+
+def test_ring_code_radius():
+    """An edit flips at most two bits of the fingerprint of the whole text and of what follows a segment."""
     rng = random.Random(2)
-    rows = []
+    seen = 0
     for _ in range(300):
-        left, right = ("".join(rng.choices("abcdefgh é中", k=rng.randint(0, 90))) for _ in "ab")
-        k, m = rng.randint(0, 9), rng.randint(0, 9)
-        a, b = (x + "SEGMENT" + y for x, y in ((left, right), (edited(rng, left, k) if left else left, edited(rng, right, m) if right else right)))
+        rest = "".join(rng.choices("abcdefgh é中", k=rng.randint(80, 150)))
+        k = rng.randint(0, 9)
+        a, b = "SEGMENT" + rest, "SEGMENT" + edited(rng, rest, k)
+        t = o._Texts([0, 1], [a, b])
+        close, far, whole = t.codes(np.array([0, 1]), np.array([0, 0]))
+        high, low = (x >> 32 & 0xFFFFFFFF for x in close), (x & 0xFFFFFFFF for x in close)
+        apart = [differ(*x) for x in (high, low, far, whole)]
+        seen += apart[2]
+        assert max(apart) <= 2 * k
+    assert seen
+
+
+def test_a_segment_without_edits_follows_the_cycle_lemma():
+    """Of t + 1 segments one at least agrees, from it on around the ring, within the radius of its cells."""
+    rng = random.Random(12)
+    for _ in range(150):
+        a = "".join(rng.choices("abcdefghij <>", k=rng.randint(90, 260)))
+        b = edited(rng, a, o._tau(len(a)) - 1)
+        if not close(a, b) or len(b) < 80:
+            continue
         t = o._Texts([0, 1], [a, b])
-        before, whole = t.counts(np.array([0, 1]), np.array([a.index("SEGMENT"), b.index("SEGMENT")]))
-        nibbles = lambda x: [int(x) >> 4 * g & 7 for g in range(o.GROUPS)]
-        ring = lambda x, y: sum(min((p - q) % 8, (q - p) % 8) for p, q in zip(x, y))
-        rest = [[(p - q) % 8 for p, q in zip(nibbles(w), nibbles(v))] for w, v in zip(whole, before)]
-        rows.append((*map(int, (before[0], whole[0], before[1], whole[1])), ring(nibbles(before[0]), nibbles(before[1])) + ring(*rest), 2 * (k + m)))
-    df = spark.createDataFrame(rows, "b0 bigint, w0 bigint, b1 bigint, w1 bigint, want int, most int")
-    got = df.select(o.apart((F.col("b0"), F.col("w0")), (F.col("b1"), F.col("w1"))).alias("d"), "want", "most").collect()
-    assert any(r.d for r in got) and all(r.d == r.want <= r.most for r in got)
+        text, at = o.rarest(o._Texts([0], [a]), np.zeros(1 << o.CELL_BITS, np.int64))
+        others, mine = o.cells(o._Texts([0], [a]), text, at), t.codes(text, at)
+        every = np.arange(len(b) - o.Q + 1)
+        held = t.codes(np.ones_like(every), every)
+        ok = False
+        for i, p in enumerate(at):
+            for q in every[abs(every - p) <= len(a) // 10 + 1]:
+                if a[p : p + o.Q] == b[q : q + o.Q]:
+                    x = (int(mine[0][i]) ^ int(held[0][q])) & (1 << 64) - 1
+                    bits = [(x >> 32).bit_count(), (x & 0xFFFFFFFF).bit_count(), differ(mine[1][i], held[1][q])]
+                    ok |= all(n <= 2 * (int(others[i]) >> 8 * k & 255) for k, n in enumerate(bits))
+        assert ok
 
 
 def test_texts_of_any_length(spark):
