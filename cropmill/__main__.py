@@ -15,6 +15,7 @@ from cropmill.operators import mine, pages, pairs, report, score, synthesis, ten
 from cropmill.plans import pipeline
 from cropmill.plans.runtime import ship
 from cropmill.sources import files
+from cropmill.sources.tables import materialize
 
 
 def load(path: str | None) -> dict:
@@ -38,12 +39,14 @@ def named(spec: str):
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="cropmill")
-    p.add_argument("command", choices=["convert", "infer", "score", "mine", "build-dpo", "report", "run", "train", "parse-pages", "average", "synth-template", "synth-variants", "synth-check", "synth-agent"])
+    p.add_argument("command", choices=["convert", "infer", "score", "mine", "build-dpo", "report", "run", "train", "parse-pages", "average", "synth-template", "synth-variants", "synth-check", "synth-agent", "synth-render"])
     p.add_argument("-i", "--input")
     p.add_argument("-o", "--output", required=True)
     p.add_argument("-c", "--config")
     p.add_argument("--provider", help="module:function that answers a request, a page or a proposal")
     p.add_argument("--review", help="module:function that reviews a proposal")
+    p.add_argument("--renderer", help="module:function that renders a page as a PNG")
+    p.add_argument("--max-seeds", type=int, default=3)
     p.add_argument("--cache")
     p.add_argument("--sampling", action="store_true")
     p.add_argument("--mode", choices=["model_pair", "gt_pair", "hybrid"])
@@ -82,21 +85,27 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.export_pairs(*pairs.build_pairs(rows, c, ["_ord"]), a.output)
     elif a.command == "report":
         pending = files.read_rows(spark, a.pending) if a.pending else spark.createDataFrame([], "id string, reason string")
-        Path(a.output).write_text(report.render(rows, pending), encoding="utf-8")
+        report.write_report(rows, pending, a.output, ["_ord"], c["report"]["page_size"])
     elif a.command == "run":
         files.write_json(configuration.redact(c), f"{a.output}/config.resolved.json")
         pipeline.run(rows, c, endpoints, named(a.provider), str(Path(a.input).resolve().parent), a.output, a.cache)
     elif a.command == "train":
         files.write_jsonl(validate.validate_pairs(rows, order).select("_ord", "pair_hash", "problem"), a.output, order)
     elif a.command == "parse-pages":
-        inputs = pages.check_inputs(files.with_image_hashes(rows, str(Path(a.input).resolve().parent)))
+        inputs = pages.check_inputs(files.with_image_hashes(rows, str(Path(a.input).resolve().parent), data=c["data"]))
         todo = inputs.filter("problem IS NULL AND image_hash IS NOT NULL").withColumn("key", pages.page_key(a.revision, F.col("image_hash"))).select("stem", "key", "image")
         done = spark.read.schema(pages.STATUS).parquet(a.output) if Path(a.output).exists() else spark.createDataFrame([], pages.STATUS)
         pages.export(pages.open_pages(todo, done), named(a.provider)).write.mode("append").parquet(a.output)
+        latest = spark.read.schema(pages.STATUS).parquet(a.output).join(inputs.withColumn("key", pages.page_key(a.revision, F.col("image_hash"))).select("stem", "key"), ["stem", "key"], "left_semi")
+        pages.write_pages(latest, f"{a.output}.pages")
     elif a.command == "average":
         weights = dict(zip(a.models, a.weights or [1.0] * len(a.models)))
+        configs, beside = zip(*map(files.beside_weights, a.models))
+        if problems := tensors.config_problems(dict(zip(a.models, configs))) + tensors.side_problems(dict(zip(a.models, beside))):
+            raise SystemExit(f"checkpoints don't fit: {problems[:5]}")
         table = files.read_checkpoints(spark, {m: m for m in a.models})
-        if problems := tensors.key_problems(table).take(5):
+        tied = [("lm_head.weight", "model.embed_tokens.weight")] if configs[0].get("tie_word_embeddings") else []
+        if problems := tensors.key_problems(table).take(5) + tensors.tied_problems(table, tied).take(5):
             raise SystemExit(f"checkpoints don't fit: {problems}")
         mean = tensors.weighted_mean(table, weights)
         if problems := mean.filter("problem IS NOT NULL").select("key", "problem").take(5):
@@ -111,14 +120,23 @@ def main(argv: list[str] | None = None) -> None:
         templates = spark.read.schema(synthesis.TEMPLATE).json(a.input)
         files.write_jsonl(synthesis.variants(templates, a.variants, c["seed"]), a.output)
     elif a.command == "synth-check":
-        checked = files.with_image_hashes(rows.withColumnRenamed("image_hash", "__claimed"), str(Path(a.input).resolve().parent)).withColumnsRenamed({"image_hash": "actual_hash", "__claimed": "image_hash"})
+        checked = files.with_image_hashes(rows.withColumnRenamed("image_hash", "__claimed"), str(Path(a.input).resolve().parent), data=c["data"]).withColumnsRenamed({"image_hash": "actual_hash", "__claimed": "image_hash"})
         judged = synthesis.check_records(checked, ["_ord"])
         files.write_jsonl(judged.filter("reason IS NULL"), a.output, order)
         files.write_jsonl(judged.filter("reason IS NOT NULL").select("id", "reason"), f"{a.output}.errors")
     elif a.command == "synth-agent":
-        seeds = rows.filter(synthesis.seed_reason(rows).isNull()).select("id", F.col("gt").alias("html"))
-        audit = synthesis.run_agent(seeds, named(a.provider), named(a.review))
+        seeds, left = synthesis.choose_seeds(rows, order, a.max_seeds)
+        seeds = materialize(seeds.withColumn("html", F.col("gt")))
+        audit = materialize(synthesis.run_agent(seeds, named(a.provider), named(a.review), a.variants, renderer=named(a.renderer) if a.renderer else None))
         files.write_jsonl(audit, a.output)
+        files.write_jsonl(left, f"{a.output}.excluded")
+        files.write_json(synthesis.agent_manifest(audit, a.variants, seeds.count()), f"{a.output}.manifest.json")
+    elif a.command == "synth-render":
+        templates = spark.read.schema(synthesis.TEMPLATE).json(a.input)
+        made = materialize(synthesis.render_variants(synthesis.variants(templates, a.variants, c["seed"]), named(a.renderer)))
+        files.write_jsonl(made, a.output)
+        files.write_json(synthesis.render_manifest(made), f"{a.output}.manifest.json")
+        Path(f"{a.output}.html").write_text(synthesis.gallery(made), encoding="utf-8")
 
 
 if __name__ == "__main__":

@@ -316,7 +316,7 @@ def teds(pred: Grid, gt: Grid, structure_only: bool = False) -> float:
     return max(0.0, min(1.0, 1 - tree_distance(a, b) / max(a.elements, b.elements, 1)))
 
 
-QUALITY = "score double, status string, metric string, teds_s double, cell_text_ned double, ned double, exact boolean, cer double, render_status string, error string"
+QUALITY = "score double, status string, metric string, teds_s double, cell_text_ned double, ned double, exact boolean, cer double, wer double, render_status string, error string"
 
 
 def compare_tables(pred: str | None, gt: str | None) -> dict:

@@ -117,8 +117,14 @@ def edit_distance(a: Sequence, b: Sequence) -> int:
     return score
 
 
+def _word_errors(pred: str | None, gt: str | None) -> float | None:
+    if pred is None or gt is None or " " not in gt or not gt.split():
+        return None
+    return 0.0 if pred == gt else edit_distance(pred.split(), gt.split()) / len(gt.split())
+
+
 def _wer(pred: pd.Series, gt: pd.Series) -> pd.Series:
-    return pd.Series([edit_distance(p.split(), g.split()) / len(g.split()) if p is not None and g is not None and " " in g and g.split() else None for p, g in zip(pred, gt)], dtype="float64")
+    return pd.Series([_word_errors(p, g) for p, g in zip(pred, gt)], dtype="float64")
 
 
 def wer(pred: Column, gt: Column) -> Column:
@@ -126,6 +132,15 @@ def wer(pred: Column, gt: Column) -> Column:
     return F.pandas_udf(_wer, "double")(pred, gt)
 
 
+def _wer_arrays(preds: pd.Series, gts: pd.Series) -> pd.Series:
+    return pd.Series([None if ps is None else [_word_errors(p, g) for p, g in zip(ps, gs)] for ps, gs in zip(preds, gts)])
+
+
+def wer_array(preds: Column, gts: Column) -> Column:
+    """Word error rates of two arrays, pair by pair."""
+    return F.pandas_udf(_wer_arrays, "array<double>")(preds, gts)
+
+
 def escape_html(c: Column, quote: bool = True) -> Column:
     for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")) + ((('"', "&quot;"), ("'", "&#x27;")) if quote else ()):
         c = F.replace(c, F.lit(plain), F.lit(escaped))

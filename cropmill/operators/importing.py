@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropmill.config import SPLITS, TASKS
 from cropmill.functions import grid, text
 from cropmill.functions.ordering import hash_split
+from cropmill.operators import skew
 from cropmill.operators.isolate import identities, isolate
 from cropmill.sources.tables import materialize
 
 #: The prompts of SFT records and the task each stands for.
 PROMPT_TASK = {"OCR:": "text", "Table Recognition:": "table", "Formula Recognition:": "formula"}
+#: Columns whose content as it came is kept in raw_annotation.
+RAW = ("gt", "gt_format", "html", "otsl", "text", "latex")
 #: Columns that may hold a truth, by task, in order of precedence after `gt`.
 ANNOTATIONS = {"table": ("otsl", "html"), "text": ("text",), "formula": ("latex",)}
 
@@ -83,7 +85,7 @@ def truth(rows: DataFrame) -> tuple[Column, Column]:
 
 
 def normalize(rows: DataFrame, config: dict) -> DataFrame:
-    """Samples with defaults, target, score_gt, conversion_status, table features and import_error.
+    """Samples with defaults, target, score_gt, conversion_status, raw_annotation (JSON of the annotations as they came), table features and import_error.
 
     Defaults fill columns that are absent; a null in a column that is there stays, but for ids, whose null becomes the
     digest of [pixel_hash, task], and splits, whose null means train. Where no split column is there, eval_fraction > 0
@@ -102,6 +104,8 @@ def normalize(rows: DataFrame, config: dict) -> DataFrame:
     if fraction and "split" not in given:
         rows = rows.withColumn("split", hash_split(config["seed"], F.col("source"), F.col("document_id"), fraction))
     rows = rows.withColumn("split", F.coalesce(F.col("split"), F.lit("train")) if "split" in rows.columns else F.lit("train"))
+    raw = [c for c in RAW if c in rows.columns]
+    rows = rows.withColumn("raw_annotation", F.to_json(F.struct(*raw)) if raw else F.lit("{}"))
     gt, fmt = truth(rows)
     rows = rows.withColumns({"gt": gt, "gt_format": fmt, "gt_trusted": F.coalesce(default("gt_trusted", F.lit(True)), F.lit(False))})
     table = F.col("task") == "table"
@@ -139,13 +143,18 @@ def normalize(rows: DataFrame, config: dict) -> DataFrame:
 def import_rows(rows: DataFrame, config: dict, order: list[Column], excluded: DataFrame | None = None) -> DataFrame:
     """All rows, normalised, with `reason` where they don't come into the data: import_error: ..., or as isolate says.
 
-    Of rows with one id the first that could be normalised has it. Held-out rows protect the evaluation even where
-    their own annotation is invalid, as do the rows of `excluded` (every row of them).
+    Of rows with one id the first that could be normalised has it; a row with an sft_error or image_error couldn't. Held-out
+    rows protect the evaluation even where their own annotation is invalid, as do the rows of `excluded` (every row of
+    them). Ids are aggregated to their first row; only those that repeat are joined back.
     """
-    made = materialize(normalize(rows, config))  # tables are parsed once
-    by_id = W.partitionBy("id", F.col("import_error").isNull()).orderBy(*order)
-    again = F.col("import_error").isNull() & (F.row_number().over(by_id) > 1)
-    made = made.withColumn("import_error", F.when(again, "duplicate id").otherwise(F.col("import_error")))
+    made = normalize(rows, config)
+    unread = [F.col(c) for c in ("sft_error", "image_error") if c in made.columns]
+    made = materialize(made.withColumn("import_error", F.coalesce(*unread, F.col("import_error"))))  # tables are parsed once
+    place = F.struct(F.xxhash64(*order).alias("a"), F.xxhash64(F.lit(1), *order).alias("b"))
+    slim = made.filter("import_error IS NULL").select(F.col("id").alias("__id"), F.struct(*order).alias("__order"), place.alias("__at"))
+    repeated = materialize(slim.groupBy("__id").agg(F.min(F.struct("__order", "__at"))["__at"].alias("__first"), F.count("*").alias("n")).filter("n > 1"))
+    again = skew.spread(slim, repeated.select("__id", "__first"), "__id", skew.hot_keys(repeated), ["__at"]).filter(F.col("__at") != F.col("__first")).select("__at", F.lit("duplicate id").alias("__again"))
+    made = made.withColumn("__at", place).join(again, "__at", "left").withColumn("import_error", F.coalesce("import_error", "__again")).drop("__at", "__again")
     held = made.filter(F.col("split") != "train")
     guards = held if excluded is None else identities(held).unionByName(identities(excluded), allowMissingColumns=True)
     good = isolate(made.filter(F.col("import_error").isNull()).drop("import_error"), order, guards)

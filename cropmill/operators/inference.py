@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import json
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cropmill.functions.text import digest, json_string
+from cropmill.config import scrub
+from cropmill.functions.text import json_string
+from cropmill.sources import images
 
 #: A provider takes a request (dict) and returns (text, finish_reason); it raises Retry or Fatal.
 Provider = Callable[[dict], tuple[str, str | None]]
@@ -121,12 +128,27 @@ def attach(rows: DataFrame, wanted: DataFrame, answers: DataFrame, sampling: boo
     return joined.drop("candidates").withColumnRenamed("__new", "candidates")
 
 
-def changed_provenance(rows: DataFrame, config: dict) -> DataFrame:
-    """(id): rows whose greedy answers were asked with another prompt than the present one; sampling on top of them would mix."""
+def changed_provenance(rows: DataFrame, config: dict, endpoints: dict[str, dict] | None = None) -> DataFrame:
+    """(id): rows whose greedy answers were asked with another prompt, image, model or revision than the present ones; sampling on top of them would mix.
+
+    image, model and revision are compared where the answers carry them.
+    """
     prompt = F.lit(None).cast("string")
     for task, words in config["prompts"].items():
         prompt = F.when(F.col("task") == task, words).otherwise(prompt)
-    return rows.filter(F.exists("candidates", lambda c: (c["kind"] == "greedy") & ~c["prompt"].eqNullSafe(prompt))).select("id")
+    has = rows.schema["candidates"].dataType.elementType.fieldNames()
+
+    def other(c: Column) -> Column:
+        bad = ~c["prompt"].eqNullSafe(prompt)
+        if "image_hash" in has and "image_hash" in rows.columns:
+            bad = bad | (c["image_hash"].isNotNull() & ~c["image_hash"].eqNullSafe(F.col("image_hash")))
+        for field in ("model", "revision"):
+            if field in has:
+                for role, e in (endpoints or {}).items():
+                    bad = bad | ((c["role"] == role) & c[field].isNotNull() & (c[field] != F.lit(str(e.get(field)))))
+        return (c["kind"] == "greedy") & bad
+
+    return rows.filter(F.exists("candidates", other)).select("id")
 
 
 def role_liveness(rows: DataFrame) -> DataFrame:
@@ -134,5 +156,90 @@ def role_liveness(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode("candidates").alias("c")).groupBy("c.role").agg(F.bool_or(F.coalesce(F.col("c.status") == "ok", F.lit(False))).alias("alive"))
 
 
-def identity_digest(identity: dict) -> str:
-    return digest(identity)
+def prepare_images(rows: DataFrame, base: str, preprocess: dict, data: dict | None = None) -> DataFrame:
+    """(id, image_hash, picture, error): the PNG that is sent to a model: RGB, no side above preprocess.max_side.
+
+    The file must still have the image_hash of its row, else the error says that it changed.
+    """
+    data = data or {}
+    root, limits = data.get("image_root") or base, {"timeout": data.get("image_timeout", 60), "most_bytes": data.get("max_image_bytes", 50_000_000), "cache": data.get("image_cache")}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for ident, place, known in zip(b["id"], b["image"], b["image_hash"]):
+                try:
+                    content = images.fetch(images.locate(place, root), **limits)
+                    if hashlib.sha256(content).hexdigest() != known:
+                        raise ValueError("image changed since it was imported")
+                    out.append((ident, known, images.png(images.shrink(images.rgb(content), preprocess.get("max_side"))), None))
+                except Exception as e:
+                    out.append((ident, known, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["id", "image_hash", "picture", "error"])
+
+    return rows.select(F.col("id").cast("string").alias("id"), "image", "image_hash").mapInPandas(run, "id string, image_hash string, picture binary, error string")
+
+
+def post(url: str, body: dict, key: str | None, timeout: float) -> dict:
+    """The JSON answer of a server; Retry or Fatal for what went wrong. The key is sent, never told."""
+    head = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, json.dumps(body).encode(), head), timeout=timeout) as answer:
+            return json.loads(answer.read())
+    except urllib.error.HTTPError as e:
+        raise failure_of(e.code, scrub(e.read(500).decode(errors="replace"), key)) from None
+    except (OSError, ValueError) as e:
+        raise Retry(scrub(f"{type(e).__name__}: {e}", key)) from None
+
+
+def chat(endpoint: dict, content: list[dict], options: dict, timeout: float) -> tuple[str, str | None]:
+    """(text, finish reason) of one user message at a chat-completions server."""
+    body = {"model": endpoint["model"], "messages": [{"role": "user", "content": content}], **options, **endpoint.get("extra_body", {})}
+    answer = post(endpoint["base_url"].rstrip("/") + "/chat/completions", body, endpoint.get("api_key"), timeout)
+    try:
+        choice = answer["choices"][0]
+        return choice["message"]["content"], choice.get("finish_reason")
+    except (KeyError, IndexError, TypeError):
+        raise Retry("answer without a choice") from None
+
+
+def http_provider(config: dict, endpoints: dict[str, dict], picture: Callable[[dict], bytes]) -> Provider:
+    """A provider that asks chat-completions servers: the prompt with the picture that `picture` gives for a request."""
+    timeout = config["inference"]["timeout"]
+
+    def ask_one(request: dict) -> tuple[str, str | None]:
+        image = {"type": "image_url", "image_url": {"url": "data:image/png;base64," + base64.b64encode(picture(request)).decode()}}
+        options = parameters(config, request["kind"] == "sample") | {"seed": int(request["seed"])}
+        return chat(endpoints[request["role"]], [image, {"type": "text", "text": request["prompt"]}], options, timeout)
+
+    return ask_one
+
+
+class VisionClient:
+    """A model that is asked for tables and for reviews, with retries; its `ask` fits the synthesis loop."""
+
+    def __init__(self, endpoint: dict, retries: int = 3, timeout: float = 180, max_tokens: int = 4096, temperature: float = 0.2, pause: Callable[[float], None] = time.sleep) -> None:
+        if not plain_endpoint(endpoint["base_url"]):
+            raise ValueError("base_url: http(s) with a host, without credentials, query and fragment")
+        self.endpoint, self.retries, self.timeout, self.pause = endpoint, retries, timeout, pause
+        self.options = {"max_tokens": max_tokens, "temperature": temperature}
+
+    def ask(self, prompt: str, *pictures: bytes) -> tuple[str, str | None]:
+        content = [{"type": "image_url", "image_url": {"url": "data:image/png;base64," + base64.b64encode(p).decode()}} for p in pictures]
+        for attempt in range(self.retries + 1):
+            try:
+                return chat(self.endpoint, [*content, {"type": "text", "text": prompt}], self.options, self.timeout)
+            except Retry:
+                if attempt == self.retries:
+                    raise
+                self.pause(min(2**attempt, LONGEST_PAUSE))
+        raise AssertionError
+
+
+def plain_endpoint(url: str) -> bool:
+    """Whether a URL is http(s) with a host and without credentials, query and fragment."""
+    try:
+        u = urlsplit(url)
+        return u.scheme in ("http", "https") and bool(u.hostname) and u.username is None and u.password is None and not u.query and not u.fragment
+    except ValueError:
+        return False

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cropmill.operators import skew
+from cropmill.sources.tables import materialize
 
 #: Columns that identify a record, by the namespace they share.
 IDENTITY = {"document": ("document_id", "parent_document_id"), "hash": ("image_hash", "pixel_hash", "parent_image_hash")}
@@ -60,34 +60,37 @@ def isolate(rows: DataFrame, order: list[Column], excluded: DataFrame | None = N
     where they differ from the first; the demoted first carries that reason and no duplicate_of. Rows whose key is null
     count as one key. `order` must be total. Columns that begin with two underscores are not to be used by callers.
 
-    The forbidden keys are joined from the side of the rows' keys; hot ones are broadcast within a bound, so no key is
-    gathered by one task. Rows of one image are windowed, after leaked rows are gone.
+    Only identities, keys and digests are worked on, each row once; the verdicts are then joined to the rows by a key that
+    is unique. Groups are aggregated to their first row and the least and greatest digest of target and task, so a
+    hash, or its absence, that a third of the rows share is no group of any task; what is joined back to its rows is
+    cut into pieces.
     """
     same = next((c for c in SAME if c in rows.columns), None)
     if same is None:
         raise ValueError("rows need pixel_hash, image_hash or image")
     # Rows are known by 128 bits of their place.
-    rows = rows.withColumn("__row", F.struct(F.xxhash64(*order).alias("a"), F.xxhash64(F.lit(1), *order).alias("b"))).withColumn("__order", F.struct(*order))
-    keys = rows.filter(is_train(rows)).select("__row", F.explode_outer(identity_keys(rows)).alias("k")).filter("k IS NOT NULL").select("__row", F.concat("k.kind", F.lit(":"), "k.value").alias("__key"))
-    banned = forbidden_keys(rows, excluded).select(F.concat("kind", F.lit(":"), "value").alias("__key"))
+    rows = rows.withColumn("__row", F.struct(F.xxhash64(*order).alias("a"), F.xxhash64(F.lit(1), *order).alias("b")))
+    target = F.col("target").cast("string") if "target" in rows.columns else F.lit(None).cast("string")
+    content = F.struct(F.xxhash64(target, F.col("task"), target.isNull()).alias("a"), F.xxhash64(F.lit(1), target, F.col("task"), target.isNull()).alias("b"))
+    slim = rows.select("__row", F.struct(*order).alias("__order"), F.struct(F.col(same).cast("string").alias("same")).alias("__same"), F.col("id").alias("__id"), content.alias("__content"), is_train(rows).alias("__train"), identity_keys(rows).alias("__keys"))
+    slim = materialize(slim)
+    named = lambda df: df.select(F.concat("k.kind", F.lit(":"), "k.value").alias("__key"), *[c for c in df.columns if c != "k"])
+    keys = named(slim.filter("__train").select("__row", F.explode("__keys").alias("k")))
+    banned = named(slim.filter("NOT __train").select(F.explode("__keys").alias("k")))
+    if excluded is not None:
+        banned = banned.unionByName(named(excluded.select(F.explode_outer(identity_keys(excluded)).alias("k")).filter("k IS NOT NULL")))
     hot = skew.hot_keys(keys.groupBy("__key").agg(F.count("*").alias("n")))
-    leaks = skew.lookup(keys, banned, "__key", hot).select("__row").distinct().withColumn("__leak", F.lit(True))
-    marked = rows.join(leaks, "__row", "left").withColumn("__leak", F.col("__leak").isNotNull() & is_train(rows))
-    target = F.col("target") if "target" in rows.columns else F.lit(None).cast("string")
-    # Leaked rows get keys of their own: they neither group nor win.
-    group = W.partitionBy("__leak", F.when(F.col("__leak"), F.col("__row").cast("string")).otherwise(F.col(same).cast("string")))
-    first = F.first(F.struct(F.col("id").alias("id"), target.alias("target"), F.col("task").alias("task"))).over(group.orderBy("__order"))
-    judged = marked.withColumn("__rn", F.row_number().over(group.orderBy("__order"))).withColumn("__first", first)
-    judged = judged.withColumn("__differs", ~target.eqNullSafe(F.col("__first.target")) | ~F.col("task").eqNullSafe(F.col("__first.task")))
-    judged = judged.withColumn("__split", F.max("__differs").over(group))
-    reason = (
-        F.when(F.col("__leak"), "evaluation_overlap")
-        .when((F.col("__rn") > 1) & F.col("__differs"), "duplicate_conflicting_gt")
-        .when(F.col("__rn") > 1, "duplicate_image")
-        .when(F.col("__split"), "duplicate_conflicting_gt")
-    )
-    other = F.when(~F.col("__leak") & (F.col("__rn") > 1), F.col("__first.id"))
-    return judged.withColumn("reason", reason).withColumn("duplicate_of", other).drop("__row", "__order", "__leak", "__rn", "__first", "__differs", "__split")
+    leaks = materialize(skew.lookup(keys, banned.distinct(), "__key", hot).select("__row").distinct())
+    clean = slim.join(leaks, "__row", "left_anti").select("__row", "__order", "__same", "__id", "__content")
+    first = F.min(F.struct("__order", F.col("__id").alias("id"), F.col("__content").alias("content"), F.col("__row").alias("row"))).alias("first")
+    groups = clean.groupBy("__same").agg(first, (F.min("__content") != F.max("__content")).alias("split"), F.count("*").alias("n")).filter("n > 1")
+    groups = materialize(groups)
+    members = skew.spread(clean, groups.select("__same", "first", "split"), "__same", skew.hot_keys(groups), ["__row"])
+    later, differs = F.col("__row") != F.col("first.row"), F.col("__content") != F.col("first.content")
+    why = F.when(later & differs, "duplicate_conflicting_gt").when(later, "duplicate_image").when(F.col("split"), "duplicate_conflicting_gt")
+    found = members.select("__row", why.alias("reason"), F.when(later, F.col("first.id")).alias("duplicate_of")).filter("reason IS NOT NULL")
+    found = found.unionByName(leaks.select("__row", F.lit("evaluation_overlap").alias("reason"), F.lit(None).alias("duplicate_of")))
+    return rows.drop("reason", "duplicate_of").join(found, "__row", "left").drop("__row")
 
 
 def kept(isolated: DataFrame) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import random
+from array import array
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -60,16 +63,16 @@ def priority_order(config: dict, bucketed: bool = False) -> list[Column]:
 def shuffled_order(rows: DataFrame, order: list[Column], seed: int) -> DataFrame:
     """Append `__place`: where the Mersenne Twister shuffle of Python puts the row, given its position in `order`.
 
-    The permutation depends on the number of rows only. It is computed on the driver: 8 bytes a row, for the rows of
-    one bucket of a mining run, of which at most 50 million are taken on.
+    The permutation depends on the number of rows only. It is computed on the driver, at 8 bytes a row and as much again
+    for the table, for the rows of one bucket of a mining run, of which at most 50 million are taken on.
     """
     at = global_rank(rows, order, materialize, name="__at")
     n = at.count()
     if n > 50_000_000:
         raise ValueError("too many rows to shuffle in the order of a sequential generator; use the hash order")
-    places = list(range(n))
+    places = array("q", range(n))
     random.Random(seed).shuffle(places)
-    moved = rows.sparkSession.createDataFrame([(old + 1, new) for new, old in enumerate(places)], "__at bigint, __place bigint")
+    moved = rows.sparkSession.createDataFrame(pa.table({"__at": np.frombuffer(places, np.int64) + 1 if n else np.empty(0, np.int64), "__place": np.arange(n)}))
     return at.join(moved, "__at").drop("__at")
 
 
@@ -77,24 +80,29 @@ def stratify(rows: DataFrame, budget: int, config: dict, order: list[Column], bu
     """(selected rows with `__position`, report by category).
 
     Each category takes its quota in `order`, then the rows left over fill up to the budget in that order. `order` must
-    be total. The rows in quota are found by a window over each category that keeps no more than the budget of a
-    category (a top-k the window prunes before the shuffle), so the last, global window sees categories x budget rows
-    at most. A budget of 0 selects nothing; empty tables select nothing.
+    be total. Only the order and the category of a row are ranked: by a window over each category that keeps no more
+    than the budget of it (a top-k the window prunes before the shuffle), then by a top-k of the budget. The rows
+    chosen, at most `budget`, are joined to the rest of their columns. A budget of 0 selects nothing; empty tables select
+    nothing.
     """
     spark = rows.sparkSession
     quotas = desired_quotas(budget, config, bucketed)
     wanted = spark.createDataFrame(list(quotas.items()), "__cat string, __desired bigint")
     names = [f"__o{i}" for i in range(len(order))]
     keyed = rows.withColumn("__cat", category(config, bucketed)).withColumns({n: o for n, o in zip(names, order)})
-    within = keyed.withColumn("__rn", F.row_number().over(W.partitionBy("__cat").orderBy(*names))).filter(F.col("__rn") <= budget)
+    keyed = keyed.withColumn("__row", F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b")))
+    slim = keyed.select("__row", "__cat", *names)
+    within = slim.withColumn("__rn", F.row_number().over(W.partitionBy("__cat").orderBy(*names))).filter(F.col("__rn") <= budget)
     placed = within.join(F.broadcast(wanted), "__cat", "left").withColumn("__in", F.col("__rn") <= F.coalesce("__desired", F.lit(0)))
     placed = materialize(placed)
-    chosen = placed.withColumn("__position", F.row_number().over(W.orderBy(F.col("__in").desc(), *names))).filter(F.col("__position") <= budget)
+    top = placed.orderBy(F.col("__in").desc(), *names).limit(budget)
+    top = materialize(top.select("__row", "__cat", F.row_number().over(W.orderBy(F.col("__in").desc(), *names)).alias("__position")))
+    chosen = keyed.drop("__cat").join(top, "__row")
     counts = placed.filter("__in").groupBy("__cat").agg(F.count("*").alias("in_quota"))
-    actual = chosen.groupBy("__cat").agg(F.count("*").alias("actual"))
+    actual = top.groupBy("__cat").agg(F.count("*").alias("actual"))
     report = wanted.join(counts, "__cat", "left").join(actual, "__cat", "full").select(F.col("__cat").alias("category"), F.coalesce("__desired", F.lit(0)).alias("desired"), F.coalesce("in_quota", F.lit(0)).alias("in_quota"), F.coalesce("actual", F.lit(0)).alias("actual"))
     report = report.withColumn("shortfall", F.greatest(F.col("desired") - F.col("in_quota"), F.lit(0)))
-    return chosen.drop("__cat", "__rn", "__in", "__desired", *names), report
+    return chosen.drop("__cat", "__row", *names), report
 
 
 def quantiles(rows: DataFrame, groups: list[str], value: str, qs: list[float], tie: str) -> DataFrame:

@@ -9,9 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cropmill.sources.tables import materialize
+from cropmill.functions.text import DELIMITERS
 from cropmill.operators.ranking import global_rank
+from cropmill.sources.tables import materialize
 
 #: What is counted, bins of a histogram, bars of a chart, rows of the preview, width of a chart in points.
 COUNTED = ("task", "source", "domain", "language")
@@ -74,33 +76,74 @@ def _bars(title: str, items: list[tuple[str, int]]) -> str:
     return f'<section><h2>{html.escape(title)}</h2><svg viewBox="0 0 600 {max(60, 27 * len(lines) + 10)}">{"".join(lines)}</svg></section>'
 
 
-def render(rows: DataFrame, pending: DataFrame, title: str = "Data report") -> str:
-    """A web page that needs nothing else: distributions, histograms, reasons and a preview of what is pending. All text is escaped.
+#: Titles of charts: measured signals, and features of tables.
+SIGNALS = ("base_score", "sft_score", "regression", "candidate_gap", "disagreement")
+FEATURES = ("cells", "merged_cells", "rows", "columns")
+
+
+def _arrival(df: DataFrame) -> Column:
+    """What says in which order rows came: their position, else the order they were read in, else their id."""
+    return F.struct(F.col(next((c for c in ("position", "_ord") if c in df.columns), "id")))
+
+
+def _distributions(df: DataFrame, when: str) -> str:
+    out = ""
+    for c in (c for c in COUNTED if c in df.columns):
+        out += _bars(f"{c} ({when})", [(r["value"], r["n"]) for r in top_bars(df, c, _arrival(df)).orderBy("place").collect()])
+    return out
+
+
+def _histograms(df: DataFrame) -> str:
+    signals = df.schema["signals"].dataType.fieldNames() if "signals" in df.columns else []
+    values = {s: F.col(f"signals.{s}") for s in SIGNALS if s in signals}
+    if "target" in df.columns:
+        values["gt_length"] = F.coalesce(F.char_length("target"), F.lit(0))
+    features = df.schema["table_features"].dataType if "table_features" in df.columns else None
+    values |= {f"table_{f}": F.col(f"table_features.{f}") for f in FEATURES if isinstance(features, T.StructType) and f in features.names}
+    bins: dict[str, list] = {k: [] for k in values}
+    if values:
+        for r in histogram(df, values).orderBy("field", "bin").collect():
+            bins[r["field"]].append((str(r["bin"]), r["n"]))
+    return "".join(_bars(k, v) for k, v in bins.items())
+
+
+def _scatter(df: DataFrame) -> str:
+    """Dots of base against sft; dots that fall on one place of the grid of the chart are drawn once, so their number is bounded."""
+    signals = df.schema["signals"].dataType.fieldNames() if "signals" in df.columns else []
+    dots = []
+    if {"base_score", "sft_score"} <= set(signals):
+        at = [F.round(c).cast("int").alias(c) for c in ("cx", "cy")]
+        dots = scatter(df).groupBy(*at).agg(F.count("*").alias("n"), F.min(F.col("id").cast("string")).alias("id")).orderBy("cx", "cy").collect()  # at most 301 x 301
+    marks = "".join(f'<circle cx="{r["cx"]}" cy="{r["cy"]}" r="2" opacity="0.4"><title>{html.escape(str(r["id"]))} ({r["n"]})</title></circle>' for r in dots)
+    return f'<section><h2>base against sft</h2><svg viewBox="0 0 340 340"><path d="M30 10V310H330M30 310L330 10" fill="none" stroke="#999"/>{marks}</svg></section>'
+
 
-    Only aggregates and PREVIEW rows reach the driver.
+def render(rows: DataFrame, pending: DataFrame, title: str = "Data report", before: DataFrame | None = None, sample_pages: int = 0) -> str:
+    """A web page that needs nothing else: distributions before and after selection, histograms, the chart of both models, reasons and a preview of what is pending, in order of arrival. All text is escaped.
+
+    Only aggregates and PREVIEW rows reach the driver. Without `before`, what was there before is `rows`.
     """
-    present = [c for c in COUNTED if c in rows.columns]
-    by: dict[str, list] = {}
-    for r in counts(rows, present).groupBy("field", "value").agg(F.sum("n").alias("n")).withColumn("rn", F.row_number().over(W.partitionBy("field").orderBy(F.col("n").desc(), "value"))).filter(F.col("rn") <= BARS).orderBy("field", "rn").collect():
-        by.setdefault(r["field"], []).append((r["value"], r["n"]))
-    body = "".join(_bars(k, v) for k, v in by.items())
-    if "signals" in rows.columns:
-        fields = rows.schema["signals"].dataType.fieldNames()
-        bins: dict[str, list] = {}
-        for r in histogram(rows, {f: F.col(f"signals.{f}") for f in fields}).orderBy("field", "bin").collect():
-            bins.setdefault(r["field"], []).append((str(r["bin"]), r["n"]))
-        body += "".join(_bars(k, v) for k, v in bins.items())
-    body += _bars("reasons", [(r["reason"], r["n"]) for r in exclusion_reasons(pending).orderBy(F.col("n").desc(), "reason").limit(BARS).collect()])
-    preview = "\n".join(f"{r['id']}\t{r['reason']}" for r in pending.select("id", "reason").orderBy("id", "reason").limit(PREVIEW).collect())
+    had = rows if before is None else before
+    links = " ".join(f'<a href="samples-{i + 1}.html">{i + 1}</a>' for i in range(sample_pages))
+    body = f"<p>before {had.count()}, after {rows.count()}, pending {pending.count()}</p><nav>{links}</nav>"
+    body += _distributions(had, "before") + _distributions(rows, "after") + _histograms(had)
+    reasons = exclusion_reasons(pending).orderBy(F.col("n").desc(), "reason").limit(BARS).collect()
+    body += _bars("reasons", [(r["reason"], r["n"]) for r in reasons]) + _scatter(had)
+    first = pending.orderBy(_arrival(pending), "reason").select("id", "reason").limit(PREVIEW).collect()
+    preview = "\n".join(f"{r['id']}\t{r['reason']}" for r in first)
     return f'<!doctype html><html><meta charset="utf-8"><title>{html.escape(title)}</title><body><h1>{html.escape(title)}</h1>{body}<pre>{html.escape(preview)}</pre></body></html>'
 
 
 def render_content(task: str | None, text: str | None) -> str:
-    """A truth or an answer as HTML: a table as its canonical form, everything else, and tables without a grid, as escaped text."""
+    """A truth or an answer as HTML: a table as its canonical form, a formula as MathML where the converter is installed, and always the escaped text."""
     from cropmill.functions import grid
 
     raw = f"<pre>{html.escape(text or '')}</pre>"
-    if task != "table" or not text:
+    if not text:
+        return raw
+    if task == "formula":
+        return _mathml(text) + raw
+    if task != "table":
         return raw
     try:
         return grid.canonical(text) + raw
@@ -108,6 +151,40 @@ def render_content(task: str | None, text: str | None) -> str:
         return f"<small>{html.escape(str(e))}</small>{raw}"
 
 
+#: Attributes that MathML may carry here; all others are dropped.
+MATHML_ATTRIBUTES = frozenset("display mathvariant stretchy fence separator accent accentunder columnalign rowspacing columnspacing linethickness displaystyle scriptlevel width height depth lspace rspace encoding".split())
+MATHML = "http://www.w3.org/1998/Math/MathML"
+
+
+def clean_mathml(markup: str) -> str:
+    """MathML with nothing but its own elements and MATHML_ATTRIBUTES; ValueError for any other element."""
+    import xml.etree.ElementTree as ET
+
+    root = ET.fromstring(markup)
+    for node in root.iter():
+        if not str(node.tag).startswith(f"{{{MATHML}}}"):
+            raise ValueError("an element that is not MathML")
+        node.attrib = {k: v for k, v in node.attrib.items() if k in MATHML_ATTRIBUTES}
+    ET.register_namespace("", MATHML)
+    return ET.tostring(root, encoding="unicode")
+
+
+def _mathml(text: str) -> str:
+    try:
+        from latex2mathml.converter import convert
+    except ImportError:
+        return ""
+    plain = text.strip()
+    for left, right in DELIMITERS:
+        if plain.startswith(left) and plain.endswith(right) and len(plain) >= len(left) + len(right):
+            plain = plain[len(left) : len(plain) - len(right)].strip()
+            break
+    try:
+        return clean_mathml(convert(plain))
+    except Exception as e:  # the text itself is shown in any case
+        return f"<small>{html.escape(str(e))}</small>"
+
+
 def sample_pages(rows: DataFrame, order: list[Column], page_size: int) -> DataFrame:
     """(page, html): the samples side by side with their answers, page_size on a page; a page is one group."""
     has = set(rows.columns)
@@ -129,7 +206,7 @@ def sample_pages(rows: DataFrame, order: list[Column], page_size: int) -> DataFr
     return pages(slim, order, page_size).groupBy("page").applyInPandas(render_page, "page bigint, html string")
 
 
-def write_report(rows: DataFrame, pending: DataFrame, out: str, order: list[Column], page_size: int) -> int:
+def write_report(rows: DataFrame, pending: DataFrame, out: str, order: list[Column], page_size: int, before: DataFrame | None = None) -> int:
     """index.html and samples-N.html in a folder all nodes reach; returns the number of sample pages."""
     from pathlib import Path
 
@@ -142,5 +219,5 @@ def write_report(rows: DataFrame, pending: DataFrame, out: str, order: list[Colu
             yield b[["page"]]
 
     n = sample_pages(rows, order, page_size).mapInPandas(write, "page bigint").count()
-    Path(out, "index.html").write_text(render(rows, pending), encoding="utf-8")
+    Path(out, "index.html").write_text(render(rows, pending, before=before, sample_pages=n), encoding="utf-8")
     return n

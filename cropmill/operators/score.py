@@ -27,11 +27,11 @@ def finished(c: Column) -> Column:
 
 
 def compare_text(x: Column, formula: bool) -> Column:
-    """Quality of a comparison (p, g, d): normalised text, normalised truth and their edit distance."""
+    """Quality of a comparison (p, g, d, w): normalised text, normalised truth, their edit distance and word error rate."""
     p, g, d = x["p"], x["g"], x["d"]
     ned = d / F.greatest(F.char_length(p), F.char_length(g), F.lit(1))
     values = {"score": 1 - ned, "ned": ned, "exact": p == g, "status": F.lit("ok")}
-    values |= {"metric": F.lit("formula_edit_proxy"), "render_status": F.lit("not_checked")} if formula else {"metric": F.lit("text_ned"), "cer": d / F.char_length(g)}
+    values |= {"metric": F.lit("formula_edit_proxy"), "render_status": F.lit("not_checked")} if formula else {"metric": F.lit("text_ned"), "cer": d / F.char_length(g), "wer": x["w"]}
     return F.when(g == "", _quality(status=F.lit("invalid_gt"), error=F.lit("empty GT"))).otherwise(_quality(**values))
 
 
@@ -76,10 +76,11 @@ def _external(scorer: Callable[[str, str], float]):
 
 
 def score_rows(rows: DataFrame, config: dict, formula_scorer: Callable[[str, str], float] | None = None) -> DataFrame:
-    """The rows with a quality for every candidate, and with signals.
+    """The rows with a quality for every candidate, with signals, and with the metric_config they were made by.
 
     Answers that failed or were cut off are generation_error, answers without a truth missing_gt; both score null.
-    Two finished greedy answers are also compared with each other, both ways, for the disagreement. Everything is
+    Two finished greedy answers are also compared with each other, both ways, for the disagreement; the qualities of
+    both ways are signals.disagreement_forward (sft against base) and disagreement_backward. Everything is
     computed within the row: text and formulas as expressions, tables in an Arrow UDF over the arrays of a row. With
     metrics.formula "cdm" formulas are scored by `formula_scorer` (prediction, truth) -> score, which is tried on a
     formula first; its failures are metric_error, empty predictions 0. Null
@@ -106,7 +107,10 @@ def score_rows(rows: DataFrame, config: dict, formula_scorer: Callable[[str, str
     rows = rows.withColumn("__tables", tables).withColumn("__plain", plain)
     rows = rows.withColumn("__plain", F.when(F.col("task") == "formula", F.transform("__plain", text.strip_delimiters)).otherwise(F.col("__plain")))
     n = F.size("__preds")
-    pairs = F.zip_with(F.slice("__plain", 1, n), F.slice("__plain", n + 1, n), lambda p, g: F.struct(p.alias("p"), g.alias("g"), F.levenshtein(p, g).alias("d")))
+    words = [F.when(F.col("task") == "text", F.slice("__plain", *at)) for at in ((F.lit(1), n), (n + 1, n))]
+    rows = rows.withColumn("__words", text.wer_array(*words))
+    zipped = F.arrays_zip(F.slice("__plain", 1, n).alias("p"), F.slice("__plain", n + 1, n).alias("g"), F.coalesce("__words", F.array_repeat(F.lit(None).cast("double"), n)).alias("w"))
+    pairs = F.transform(zipped, lambda x: F.struct(x["p"].alias("p"), x["g"].alias("g"), F.levenshtein(x["p"], x["g"]).alias("d"), x["w"].alias("w")))
     # Arrays are handed on whole, each used once: inside a lambda an array would be computed again for every element.
     texts = F.transform(pairs, lambda x: F.when(F.col("task") == "formula", compare_text(x, True)).otherwise(compare_text(x, False)))
     if external:
@@ -118,7 +122,9 @@ def score_rows(rows: DataFrame, config: dict, formula_scorer: Callable[[str, str
     rows = rows.withColumn("__scored", F.when(table, F.col("__tables").cast(f"array<{QUALITY}>")).otherwise(texts))
     own = [f for f in fields if f != "quality"]
     judge = lambda c, q: F.when(~finished(c), _failure("generation_error", F.coalesce(c["error"], c["finish_reason"]) if "error" in fields else c["finish_reason"])).when(F.col("score_gt").isNull(), _failure("missing_gt")).otherwise(q)
-    rows = rows.withColumn("__forward", F.get(F.col("__scored"), n - 2)["score"]).withColumn("__backward", F.get(F.col("__scored"), n - 1)["score"])
+    rows = rows.withColumn("__forward", F.when(both, F.get(F.col("__scored"), n - 2))).withColumn("__backward", F.when(both, F.get(F.col("__scored"), n - 1)))
     rows = rows.withColumn("candidates", F.zip_with("candidates", F.slice("__scored", F.lit(1), F.size("candidates")), lambda c, q: F.struct(*[c[f].alias(f) for f in own], judge(c, q).alias("quality"))))
-    apart = F.when(both, 1 - (F.col("__forward") + F.col("__backward")) / 2)
-    return rows.withColumn("signals", signals("candidates", config, apart)).drop("__base", "__sft", "__preds", "__truths", "__tables", "__plain", "__outside", "__scored", "__forward", "__backward")
+    apart = 1 - (F.col("__forward.score") + F.col("__backward.score")) / 2
+    made = signals("candidates", config, apart).withField("disagreement_forward", F.col("__forward")).withField("disagreement_backward", F.col("__backward"))
+    rows = rows.withColumn("signals", made).withColumn("metric_config", F.struct(*[F.lit(v).alias(k) for k, v in config["metrics"].items()]))
+    return rows.drop("__base", "__sft", "__preds", "__truths", "__tables", "__plain", "__words", "__outside", "__scored", "__forward", "__backward")

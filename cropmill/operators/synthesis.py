@@ -196,35 +196,68 @@ def page_html(table: str, title: str, style: dict, header_rows: int = 0) -> str:
     return f'<!doctype html><html><head><meta charset="utf-8"><style>{css}</style></head><body><h1>{escape(title)}</h1>{table}</body></html>'
 
 
-AUDIT = "seed_id string, template_index int, attempt int, accepted boolean, issues string, html string"
+def template_from_reply(reply: dict, seed: dict, family: str) -> dict:
+    """A template from a model's proposal: html, title, header_rows and style of width and font_size, each of its own type; everything else comes from the seed.
+
+    The html is rebuilt from its grid, so nothing of a reply is used as it came. ValueError says what is wrong.
+    """
+    style = {k: reply["style"][k] for k in ("width", "font_size")}
+    if not isinstance(reply["title"], str) or any(type(v) is not int for v in (*style.values(), reply["header_rows"])):
+        raise ValueError("title, header_rows or style of another type")
+    of_seed = {k: seed.get(k) for k in ("document_id", "source", "domain") if seed.get(k)}
+    made = template(family, str(seed["id"]), reply["html"], title=reply["title"], header_rows=reply["header_rows"], style=style, **of_seed)
+    if why := problem(made):
+        raise ValueError(why)
+    return made
+
+
+def choose_seeds(rows: DataFrame, order: list[Column], max_seeds: int) -> tuple[DataFrame, DataFrame]:
+    """(seeds, rejected (id, reason)): the first max_seeds table samples that may seed, in `order`."""
+    why = seed_reason(rows)
+    first = rows.filter(why.isNull()).orderBy(*order).limit(max_seeds)
+    over = rows.filter(why.isNull()).select("id").join(first.select("id"), "id", "left_anti").withColumn("reason", F.lit("max_seeds budget; input order preserved"))
+    return first, rows.filter(why.isNotNull()).select("id", why.alias("reason")).unionByName(over)
+
+
+AUDIT = "seed_id string, template_index int, attempt int, accepted boolean, issues string, html string, template string"
 
 
-def run_agent(seeds: DataFrame, propose: Callable[[dict, int, list[str]], tuple[str, str | None]], review: Callable[[str], tuple[str, str | None]], templates_per_seed: int = 2, repairs: int = 2) -> DataFrame:
-    """AUDIT of the loop propose, check, review, repair; each seed (id, html) is worked through on its own, seeds in parallel.
+def run_agent(seeds: DataFrame, propose: Callable[[dict, int, list[str], dict | None], tuple[str, str | None]], review: Callable[[str, bytes | None], tuple[str, str | None]], templates_per_seed: int = 2, repairs: int = 2, renderer: Callable[[str], bytes] | None = None) -> DataFrame:
+    """AUDIT of the loop propose, check, render, review, repair; each seed (id, ...) is worked through on its own, seeds in parallel.
 
-    propose(seed, index, issues) and review(html) return (reply, finish_reason). A proposal is accepted when its table
-    parses and the review approves without issues; else its issues go into the next attempt, until `repairs` are used.
+    propose(seed, index, issues, start) gives (reply, finish_reason); start is the proposal to go on from: the one just
+    refused, else the last accepted one of this seed, else None. A proposal becomes a template, is rendered where a
+    renderer (page -> picture) is given, and is accepted when review(html, picture) approves without issues; else the
+    issues go into the next attempt, until `repairs` are used. An accepted template is kept as JSON.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for seed in b.to_dict("records"):
+                accepted_last = None
                 for k in range(templates_per_seed):
                     issues: list[str] = []
+                    start = accepted_last
                     for attempt in range(repairs + 1):
-                        table, accepted = None, False
+                        made, table, accepted = None, None, False
                         try:
-                            made = reply_object(*propose(seed, k, issues))
-                            table = grid.canonical(made["html"])
-                            said = reply_object(*review(table))
-                            issues = [str(x) for x in said.get("issues", [])]
-                            accepted = said.get("approved") is True and not issues
+                            made = reply_object(*propose(seed, k, issues, start))
+                            t = template_from_reply(made, seed, "agent-" + digest([seed["id"], k])[:16])
+                            table = t["seed_html"]
+                            picture = renderer(page_html(table, t["title"], t["style"], t["header_rows"])) if renderer else None
+                            said = reply_object(*review(table, picture))
+                            if type(said.get("approved")) is not bool or not isinstance(said.get("issues"), list):
+                                raise ValueError("a review holds approved and issues")
+                            issues = [str(x) for x in said["issues"]]
+                            accepted = said["approved"] and not issues
                             issues = issues or ([] if accepted else ["not approved"])
-                        except (ValueError, KeyError, TypeError) as e:
+                        except (ValueError, KeyError, TypeError, OSError, RuntimeError) as e:
                             issues = [str(e)]
-                        out.append((seed["id"], k, attempt, accepted, "; ".join(issues), table))
+                        out.append((seed["id"], k, attempt, accepted, "; ".join(issues), table, json.dumps(t, ensure_ascii=False) if accepted else None))
+                        start = made or start
                         if accepted:
+                            accepted_last = made
                             break
             yield pd.DataFrame(out, columns=[x.split()[0] for x in AUDIT.split(", ")])
 
@@ -232,9 +265,31 @@ def run_agent(seeds: DataFrame, propose: Callable[[dict, int, list[str]], tuple[
 
 
 def agent_result(audit: DataFrame) -> DataFrame:
-    """(seed_id, template_index, accepted, html): the last attempt of each, with a reason when the repairs were used up."""
-    last = audit.groupBy("seed_id", "template_index").agg(F.max(F.struct("attempt", "accepted", "html")).alias("l"))
-    return last.select("seed_id", "template_index", F.col("l.accepted").alias("accepted"), "l.html", F.when(~F.col("l.accepted"), "repair budget exhausted; see audit").alias("reason"))
+    """(seed_id, template_index, accepted, html, template, reason): the last attempt of each, with a reason when the repairs were used up."""
+    last = audit.groupBy("seed_id", "template_index").agg(F.max(F.struct("attempt", "accepted", "html", "template")).alias("l"))
+    return last.select("seed_id", "template_index", F.col("l.accepted").alias("accepted"), "l.html", "l.template", F.when(~F.col("l.accepted"), "repair budget exhausted; see audit").alias("reason"))
+
+
+def agent_manifest(audit: DataFrame, templates_per_seed: int, seeds: int) -> dict:
+    """Numbers of a run of the agent: accepted, pending, attempts, and whether every template came to be."""
+    r = agent_result(audit).agg(F.count_if("accepted").alias("generated"), F.count_if(~F.col("accepted")).alias("pending")).first()
+    return {"generated": r["generated"], "pending": r["pending"], "seeds": seeds, "attempts": audit.count(), "status": "complete" if r["generated"] == seeds * templates_per_seed else "partial"}
+
+
+def render_manifest(rendered: DataFrame) -> dict:
+    """Numbers of rendered records: generated, failed, families, and whether all came out."""
+    r = rendered.agg(F.count_if(F.col("qa.status") == "passed").alias("generated"), F.count_if(~F.col("qa.status").eqNullSafe("passed")).alias("failed"), F.countDistinct("template_family_id").alias("families")).first()
+    return {**r.asDict(), "status": "complete" if not r["failed"] else "partial"}
+
+
+def gallery(rendered: DataFrame, most: int = 200) -> str:
+    """A page of rendered records with their tables and OTSL, for the first `most` by id (a preview, so the rest is only counted)."""
+    good = rendered.filter(F.col("qa.status") == "passed")
+    cards = "".join(
+        f'<article><h2>{escape(r["id"])}</h2><img loading="lazy" src="data:image/png;base64,{r["picture"]}"><details><summary>table</summary>{r["html"]}</details><details><summary>OTSL</summary><pre>{escape(r["otsl"])}</pre></details></article>'
+        for r in good.orderBy("id").limit(most).select("id", F.base64("image").alias("picture"), "html", "otsl").collect()
+    )
+    return f'<!doctype html><html><meta charset="utf-8"><title>Synthetic tables</title><body><p>{good.count()} records</p>{cards}</body></html>'
 
 
 RENDERED = "id string, template_family_id string, index int, html string, otsl string, image binary, image_hash string, split string, qa struct<status:string>, error string"

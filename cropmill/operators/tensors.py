@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Element types that are averaged; all others must be equal. Bytes of an element on disk.
@@ -81,6 +80,38 @@ def map_problems(weight_map: DataFrame, actual: DataFrame) -> DataFrame:
     return a.join(b, "key", "full").filter(~F.col("listed").eqNullSafe(F.col("found")))
 
 
-def running_bytes(sizes: DataFrame) -> DataFrame:
-    """(key, bytes, before): bytes of the keys before each, in order."""
-    return sizes.withColumn("before", F.coalesce(F.sum("bytes").over(W.orderBy("key").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+#: Entries of a model's configuration that may differ between models that are averaged.
+MAY_DIFFER = ("_name_or_path", "torch_dtype", "dtype", "transformers_version", "use_cache")
+#: Files beside the weights that must be the same, by the end of their names, and marks of adapters.
+SIDE_FILES = (".json", ".model", ".txt", ".jinja")
+ADAPTERS = ("adapter_config.json", "adapter_model.safetensors", "adapter_model.bin")
+
+
+def config_problems(models: dict[str, dict]) -> list[str]:
+    """Why models can't be averaged, by their configuration {model: config}: any entry that differs beyond MAY_DIFFER, or a quantized model."""
+    out = [f"{m}: quantized" for m, c in models.items() if c.get("quantization_config")]
+    first, rest = next(iter(models.items())), list(models.items())[1:]
+    core = lambda c: {k: v for k, v in c.items() if k not in MAY_DIFFER}
+    for m, c in rest:
+        a, b = core(first[1]), core(c)
+        out += [f"{m}: {k} differs from {first[0]}" for k in sorted(set(a) | set(b)) if a.get(k) != b.get(k)]
+    return out
+
+
+def side_problems(models: dict[str, dict[str, str]]) -> list[str]:
+    """Why models can't be averaged, by the files beside their weights {model: {name: digest}}: an adapter, or a file that another model lacks or has otherwise."""
+    out = [f"{m}: {n} is an adapter" for m, own in models.items() for n in sorted(own) if n in ADAPTERS]
+    watched = lambda own: {n: h for n, h in own.items() if n.endswith(SIDE_FILES) and not n.endswith((".safetensors.index.json", "config.json")) and n not in ADAPTERS}
+    (first, own), *rest = models.items()
+    for m, other in rest:
+        a, b = watched(own), watched(other)
+        out += [f"{m}: {n} differs from {first}" for n in sorted(set(a) | set(b)) if a.get(n) != b.get(n)]
+    return out
+
+
+def tied_problems(tensors: DataFrame, tied: list[tuple[str, str]]) -> DataFrame:
+    """(model, problem): models that hold both of two tied keys with differing values; tied weights are one tensor."""
+    a, b = (tensors.select("model", F.col("key").alias(k), F.xxhash64("values").alias(f"h_{k}")) for k in ("one", "other"))
+    pairs = tensors.sparkSession.createDataFrame(tied or [("", "")], "one string, other string")
+    found = a.join(F.broadcast(pairs), "one").join(b, ["model", "other"]).filter(F.col("h_one") != F.col("h_other"))
+    return found.select("model", F.concat(F.col("one"), F.lit(" and "), F.col("other"), F.lit(" are tied but differ")).alias("problem"))

@@ -28,10 +28,10 @@ def _listed(rows: DataFrame) -> Column:
     return F.coalesce(F.col("image_info.image_url") if there else F.array().cast("array<string>"), F.array().cast("array<string>"))
 
 
-def _hashes(paths: DataFrame, base: str) -> DataFrame:
+def _hashes(paths: DataFrame, base: str, config: dict) -> DataFrame:
     """(paths) -> image_hash, pixel_hash and image_error of each."""
     each = paths.select(F.explode_outer(F.array_distinct(F.array_compact("paths"))).alias("image")).filter("image != ''").distinct()
-    return materialize(files.with_image_hashes(each, base))
+    return materialize(files.with_image_hashes(each, base, data=config["data"]))
 
 
 def guards(rows: DataFrame, config: dict, base: str) -> DataFrame:
@@ -40,13 +40,13 @@ def guards(rows: DataFrame, config: dict, base: str) -> DataFrame:
     Images of a manifest start from its folder and are hashed where no pixel_hash is given; one that can't be read is an error, as it would guard nothing.
     """
     held = rows.filter(~isolate.is_train(rows))
-    out = _hashes(held.select(F.concat(F.array(_image(held)), _listed(held)).alias("paths")), base).select("image_hash", "pixel_hash")
+    out = _hashes(held.select(F.concat(F.array(_image(held)), _listed(held)).alias("paths")), base, config).select("image_hash", "pixel_hash")
     for path in config["data"]["exclude_manifests"]:
         manifest = files.read_rows(rows.sparkSession, str(path))
         image = _image(manifest)
         known = F.coalesce(F.col("pixel_hash").cast("string"), F.lit("")) != "" if "pixel_hash" in manifest.columns else F.lit(False)
         paths = F.when(image.isNull(), _listed(manifest)).when(~known, F.array(image))
-        hashed = _hashes(manifest.select(paths.alias("paths")), str(Path(path).expanduser().resolve().parent))
+        hashed = _hashes(manifest.select(paths.alias("paths")), str(Path(path).expanduser().resolve().parent), {"data": {**config["data"], "image_root": None}})
         if lost := hashed.filter("pixel_hash IS NULL").select("image", "image_error").take(1):
             raise ValueError(f"{path}: {lost[0].image}: {lost[0].image_error}")
         out = out.unionByName(hashed.select("image_hash", "pixel_hash"), allowMissingColumns=True).unionByName(isolate.identities(manifest), allowMissingColumns=True)
@@ -54,21 +54,27 @@ def guards(rows: DataFrame, config: dict, base: str) -> DataFrame:
 
 
 def convert(raw: DataFrame, config: dict, base: str, excluded: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(samples, rejected with reason) from raw records, SFT records included; no train sample shares a document or image with held-out or excluded data."""
+    """(samples, rejected with reason) from raw records, SFT records included; no train sample shares a document or image with held-out or excluded data.
+
+    Rejected records that could not be imported carry input_index, their place, and raw, the record as it came.
+    """
+    raw = materialize(raw)
     more = guards(importing.map_fields(raw, config["fields"]), config, base)
     excluded = more if excluded is None else more.unionByName(isolate.identities(excluded), allowMissingColumns=True)
     rows = importing.adapt_sft(raw) if {"image_info", "text_info"} <= set(raw.columns) else raw
-    rows = materialize(files.with_image_hashes(importing.map_fields(rows, config["fields"]), base))
+    rows = files.with_image_hashes(importing.map_fields(rows, config["fields"]), base, data=config["data"])
     out = materialize(importing.import_rows(rows, config, ORDER, excluded))
-    unread = F.coalesce(*[F.col(c) for c in ("image_error", "sft_error") if c in out.columns])
-    out = out.withColumn("reason", F.coalesce(F.when(unread.isNotNull(), F.concat(F.lit("import_error: "), unread)), F.col("reason")))
-    return out.filter("reason IS NULL").drop("reason", "duplicate_of", "image_error", "sft_error"), out.filter("reason IS NOT NULL")
+    came = raw.select(F.col("_ord").alias("input_index"), F.to_json(F.struct(*[c for c in raw.columns if c != "_ord"])).alias("raw"))
+    bad = out.filter("reason IS NOT NULL")
+    failed = bad.filter(F.col("reason").startswith("import_error: ")).join(came, F.col("_ord") == F.col("input_index"))
+    bad = failed.unionByName(bad.filter(~F.col("reason").startswith("import_error: ")), allowMissingColumns=True)
+    return out.filter("reason IS NULL").drop("reason", "duplicate_of", "image_error", "sft_error"), bad
 
 
 def infer(rows: DataFrame, config: dict, endpoints: dict, provider: inference.Provider, cache: str | None = None, sampling: bool = False) -> DataFrame:
     """The rows with candidates; answers in the cache folder are used again, new ones are added to it."""
-    if sampling and (changed := inference.changed_provenance(rows, config).take(1)):
-        raise ValueError(f"prompt of {changed[0].id} changed since its greedy answers; ask again")
+    if sampling and (changed := inference.changed_provenance(rows, config, endpoints).take(1)):
+        raise ValueError(f"prompt, image or model of {changed[0].id} changed since its greedy answers; ask again")
     wanted = materialize(inference.requests(rows, config, endpoints, sampling))
     spark = rows.sparkSession
     known = spark.read.schema(inference.ANSWER).parquet(cache) if cache and Path(cache).exists() else spark.createDataFrame([], inference.ANSWER)
@@ -110,6 +116,5 @@ def run(raw: DataFrame, config: dict, endpoints: dict, provider: inference.Provi
     slim = lambda df: df.select(F.col("id").cast("string").alias("id"), "reason")
     left = slim(pending).unionByName(slim(skipped)).unionByName(slim(errors))
     stats = export_pairs(selected, left, quota_report, f"{out}/dpo")
-    page = Path(out, "report.html")
-    page.write_text(report.render(scored, left), encoding="utf-8")
+    report.write_report(selected, left, f"{out}/report", ["position"], config["report"]["page_size"], before=scored)
     return stats

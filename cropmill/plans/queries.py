@@ -84,11 +84,12 @@ def text_forms(s: Spark, d: str) -> DataFrame:
 
 def score_samples(s: Spark, d: str) -> DataFrame:
     scored = score.score_rows(clean_samples(s, d), CONFIG)
-    return scored.select("id", F.posexplode_outer("candidates").alias("at", "c")).filter("at IS NOT NULL").select("id", "at", F.col("c.id").alias("candidate_id"), "c.quality.score", "c.quality.status", "c.quality.metric", F.col("c.quality.exact").alias("exact"), "c.quality.cer", "c.quality.teds_s")
+    return scored.select("id", F.posexplode_outer("candidates").alias("at", "c")).filter("at IS NOT NULL").select("id", "at", F.col("c.id").alias("candidate_id"), "c.quality.score", "c.quality.status", "c.quality.metric", F.col("c.quality.exact").alias("exact"), "c.quality.cer", "c.quality.wer", "c.quality.teds_s")
 
 
 def scored_signals(s: Spark, d: str) -> DataFrame:
-    return score.score_rows(clean_samples(s, d), CONFIG).select("id", "signals.*")
+    scored = score.score_rows(clean_samples(s, d), CONFIG).select("id", "signals.*")
+    return scored.withColumns({c: F.col(f"{c}.score") for c in ("disagreement_forward", "disagreement_backward")})
 
 
 def word_errors(s: Spark, d: str) -> DataFrame:

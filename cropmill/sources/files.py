@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import io
 import json
 import struct
 from collections.abc import Iterator
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cropmill.sources import images
+
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
     """Rows of a JSONL file with `_ord`, their order, blank lines skipped; a line that is no object is an error.
@@ -38,13 +39,40 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return each.withColumn("raw", F.when(F.schema_of_variant("raw").startswith("OBJECT"), F.col("raw")).otherwise(F.raise_error(F.lit("expected an object")).cast("variant")))
 
 
+def _unfinite(c: Column, kind: T.DataType) -> Column:
+    """Whether a value holds a NaN or an infinite number at any depth."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        bad = F.isnan(c) | (F.abs(c) == float("inf"))
+    elif isinstance(kind, T.StructType):
+        bad = F.lit(False)
+        for f in kind.fields:
+            if _has_numbers(f.dataType):
+                bad = bad | _unfinite(c[f.name], f.dataType)
+    elif isinstance(kind, T.ArrayType):
+        bad = F.exists(c, lambda x: _unfinite(x, kind.elementType))
+    else:
+        bad = F.exists(F.map_values(c), lambda x: _unfinite(x, kind.valueType))
+    return F.coalesce(bad, F.lit(False))
+
+
+def _has_numbers(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_numbers(f.dataType) for f in kind.fields)
+    inner = kind.elementType if isinstance(kind, T.ArrayType) else kind.valueType if isinstance(kind, T.MapType) else None
+    return _has_numbers(inner) if inner is not None else isinstance(kind, (T.DoubleType, T.FloatType))
+
+
 def write_jsonl(df: DataFrame, path: str, order: list[Column] | None = None, one_file: bool = False) -> None:
-    """One object a line, null fields left out, non-ASCII kept. The committer publishes the folder when it is whole."""
-    for c, kind in df.dtypes:
-        if kind in ("double", "float"):
-            df = df.withColumn(c, F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.raise_error(F.lit(f"{c} is not a finite number")).cast(kind)).otherwise(F.col(c)))
+    """One object a line with every column, null where it is null, non-ASCII kept. The committer publishes the folder when it is whole.
+
+    NaN and infinite numbers at any depth are an error.
+    """
     ordered = df.orderBy(*order) if order else df
-    lines = ordered.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    for f in df.schema.fields:
+        if _has_numbers(f.dataType):
+            line = F.when(_unfinite(F.col(f.name), f.dataType), F.raise_error(F.lit(f"{f.name} holds a number that is not finite")).cast("string")).otherwise(line)
+    lines = ordered.select(line.alias("value"))
     (lines.coalesce(1) if one_file else lines).write.mode("overwrite").text(path)
 
 
@@ -64,21 +92,18 @@ def read_images(spark: SparkSession, path: str, most_bytes: int = 50_000_000) ->
 
 
 def _pixels(s: pd.Series) -> pd.DataFrame:
-    from PIL import Image
-
     out = []
     for content in s:
         try:
-            with Image.open(io.BytesIO(content)) as im:
-                rgb = im.convert("RGB")
-                out.append((hashlib.sha256(str(rgb.size).encode() + rgb.tobytes()).hexdigest(), list(rgb.size), None))
+            pixels = images.rgb(content)
+            out.append((images.pixel_digest(pixels), [pixels.shape[1], pixels.shape[0]], None))
         except Exception as e:
             out.append((None, None, str(e)))
     return pd.DataFrame(out, columns=["pixel_hash", "size", "error"])
 
 
 def pixel_hash(content: Column) -> Column:
-    """Struct (pixel_hash, size, error) of image bytes: SHA-256 of size and RGB pixels. Needs Pillow on the executors."""
+    """Struct (pixel_hash, size, error) of image bytes: SHA-256 of size and RGB pixels; the error where they can't be read."""
     return F.pandas_udf(_pixels, "pixel_hash string, size array<int>, error string")(content)
 
 
@@ -122,7 +147,12 @@ def build_safetensors(tensors: list[tuple[str, list[int], str, np.ndarray]]) ->
 
 
 def read_checkpoints(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """TENSORS of the *.safetensors files of models {name: folder}; a file is read by one task."""
+    """TENSORS of the *.safetensors files of models {name: folder}; a file is read by one task.
+
+    Where a folder has an index its weight map must be what the shards hold, key by key, else it is an error.
+    """
+    from cropmill.operators.tensors import map_problems
+
     out = None
     for model, path in paths.items():
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.safetensors").load(path).select("path", "content")
@@ -134,10 +164,22 @@ def read_checkpoints(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
                         yield pd.DataFrame({"model": [model], "key": [key], "shape": [list(shape)], "dtype": [dtype], "values": [values.astype(np.float64)], "shard": [p.rsplit("/", 1)[-1]]})
 
         own = files.mapInPandas(run, TENSORS)
+        for index in Path(path).glob("*.safetensors.index.json"):
+            listed = spark.createDataFrame(list(json.loads(index.read_text())["weight_map"].items()), "key string, shard string")
+            if wrong := map_problems(listed, own).take(3):
+                raise ValueError(f"{index}: the index and the shards don't agree: {wrong}")
         out = own if out is None else out.unionByName(own)
     return out
 
 
+def beside_weights(path: str) -> tuple[dict, dict[str, str]]:
+    """(configuration, {name: digest} of the other files) of a model's folder."""
+    folder = Path(path)
+    own = {f.name: hashlib.sha256(f.read_bytes()).hexdigest() for f in sorted(folder.iterdir()) if f.is_file() and f.suffix != ".safetensors"}
+    config = folder / "config.json"
+    return (json.loads(config.read_text()) if config.exists() else {}), own
+
+
 def write_checkpoint(tensors: DataFrame, path: str, most_bytes: int, metadata: dict | None = None) -> dict:
     """Write (key, shape, dtype, values) as shards of at most `most_bytes` and an index; the folder appears when it is whole.
 
@@ -175,29 +217,26 @@ def write_checkpoint(tensors: DataFrame, path: str, most_bytes: int, metadata: d
     return index
 
 
-def with_image_hashes(rows: DataFrame, base: str, column: str = "image") -> DataFrame:
-    """Append image_hash (of the file), pixel_hash (of size and RGB pixels; of the file where Pillow is missing) and image_error.
+def with_image_hashes(rows: DataFrame, base: str, column: str = "image", data: dict | None = None) -> DataFrame:
+    """Append image_hash (of the file), pixel_hash (of size and RGB pixels) and image_error.
 
-    Relative paths start from `base`, `~` is the home folder; the folder must be reachable from all executors.
+    Relative paths start from data.image_root, else `base`; the folder must be reachable from all executors. URLs are
+    downloaded within data.image_timeout, once with data.image_cache; files beyond data.max_image_bytes and images that
+    can't be read have an error and no pixel_hash.
     """
-    root = Path(base).expanduser()
+    data = data or {}
+    root, limits = data.get("image_root") or base, {"timeout": data.get("image_timeout", 60), "most_bytes": data.get("max_image_bytes", 50_000_000), "cache": data.get("image_cache")}
 
     def one(value):
         if not value:
             return None, None, "no image"
         try:
-            data = (root / Path(value).expanduser()).read_bytes()
-        except OSError as e:
-            return None, None, type(e).__name__
-        digest = hashlib.sha256(data).hexdigest()
-        try:
-            from PIL import Image
-        except ImportError:
-            return digest, digest, None
+            content = images.fetch(images.locate(value, root), **limits)
+        except (OSError, ValueError) as e:
+            return None, None, str(e) if isinstance(e, ValueError) else type(e).__name__
+        digest = hashlib.sha256(content).hexdigest()
         try:
-            with Image.open(io.BytesIO(data)) as im:
-                rgb = im.convert("RGB")
-                return digest, hashlib.sha256(str(rgb.size).encode() + rgb.tobytes()).hexdigest(), None
+            return digest, images.pixel_digest(images.rgb(content)), None
         except Exception as e:
             return digest, None, str(e)
 

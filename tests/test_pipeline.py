@@ -52,7 +52,7 @@ def test_run_three_tasks_and_reuse_answers(spark, raw, tmp_path, monkeypatch):
     assert stats["selected"] == 3 and {m["messages"][1]["content"] for m in made} == set(TRUTH.values())
     assert [a["sample_id"] for a in lines(f"{out}/dpo.audit")] == [r["id"] for r in lines(f"{out}/dpo.selected")]
     assert "import_error: FileNotFoundError" in {r["reason"] for r in lines(f"{out}/dpo.pending")}
-    assert spark.read.parquet(cache).count() == 18 and "<svg" in Path(out, "report.html").read_text()
+    assert spark.read.parquet(cache).count() == 18 and "<svg" in Path(out, "report", "index.html").read_text() and Path(out, "report", "samples-1.html").exists()
     pipeline.run(files.read_rows(spark, str(raw)), c, ENDPOINTS, forbidden, str(tmp_path), str(tmp_path / "again"), cache)
     assert spark.read.parquet(cache).count() == 18
 
@@ -63,7 +63,7 @@ def forbidden(request):
 
 def no_pillow(f):
     """The fixture's images are no pictures: their pixel hash is that of the file."""
-    return lambda rows, base, column="image": f(rows, base, column).withColumn("pixel_hash", F.col("image_hash")).withColumn("image_error", F.when(F.col("image_hash").isNull(), F.col("image_error")))
+    return lambda rows, base, column="image", data=None: f(rows, base, column, data).withColumn("pixel_hash", F.col("image_hash")).withColumn("image_error", F.when(F.col("image_hash").isNull(), F.col("image_error")))
 
 
 def test_manifests_and_broken_held_out_records_guard(spark, tmp_path, monkeypatch):
@@ -138,3 +138,19 @@ def test_scans_are_pruned(spark):
     text = plan("preflight_lengths")
     assert "created_at" not in text and "Exchange" not in text
     assert "PushedFilters" in plan("stale_pages") or "ReadSchema" in plan("stale_pages")
+
+
+def test_an_unread_image_claims_no_id(spark, tmp_path, monkeypatch):
+    """A row whose image can't be read, or whose record is broken, leaves its id and its place in the group to a later row; what was rejected keeps its record."""
+    monkeypatch.setattr(files, "with_image_hashes", no_pillow(files.with_image_hashes))
+    for i in range(2):
+        (tmp_path / f"{i}.png").write_bytes(b"same image")
+    row = lambda ident, image, gt: {"id": ident, "task": "text", "image": image, "gt": gt, "document_id": "d"}
+    records = [row("a", "missing.png", "one"), row("a", "0.png", "two"), row("b", "1.png", "two"), row("a", "1.png", "three")]
+    (tmp_path / "in.jsonl").write_text("".join(json.dumps(r) + "\n" for r in records))
+    good, bad = pipeline.convert(files.read_rows(spark, str(tmp_path / "in.jsonl")), config.load(), str(tmp_path))
+    assert [(r.id, r.gt, json.loads(r.raw_annotation)) for r in good.collect()] == [("a", "two", {"gt": "two"})]
+    left = {(r.id, r.gt): r for r in bad.collect()}
+    assert left["b", "two"].reason == "duplicate_image" and left["b", "two"].duplicate_of == "a"
+    assert left["a", "one"].reason == "import_error: FileNotFoundError" and json.loads(left["a", "one"].raw) == records[0]
+    assert left["a", "three"].reason == "import_error: duplicate id" and left["a", "three"].input_index > left["a", "one"].input_index

@@ -1,5 +1,10 @@
+import hashlib
+import http.server
 import json
 import random
+import struct
+import threading
+import zlib
 
 import numpy as np
 import pytest
@@ -9,7 +14,7 @@ from cropmill import config
 from cropmill.functions import grid
 from cropmill.functions.text import digest
 from cropmill.operators import inference, pages, report, synthesis, tensors
-from cropmill.sources import files
+from cropmill.sources import files, images
 from cropmill.sources.tables import materialize
 from cropmill.streaming import ingest
 
@@ -145,12 +150,24 @@ def test_seeds_and_records(spark):
 
 
 def test_agent_repairs(spark):
-    def propose(seed, k, issues):
+    def propose(seed, k, issues, start):
+        good = {"html": "<table><tr><td>a</td></tr></table>", "title": f"{k} from {start and start['title']}", "header_rows": 1, "style": {"width": 700, "font_size": 15, "more": 1}}
         if k == 0 and not issues:
-            return '```json\n{"html": "bad"}\n```', "stop"
-        return json.dumps({"html": "<table><tr><td>a</td></tr></table>"}), "stop" if k < 2 else "length"
+            return '```json\n{"html": "bad", "title": "", "header_rows": 1, "style": {"width": 700, "font_size": 15}}\n```', "stop"
+        return json.dumps(good), "stop" if k < 2 else "length"
 
-    audit = synthesis.run_agent(spark.createDataFrame([("s",)], "id string"), propose, lambda html: ('{"approved": true, "issues": []}', "stop"), templates_per_seed=3, repairs=1)
+    def review(html, picture):
+        return json.dumps({"approved": picture.startswith(b"<!doctype"), "issues": []}), "stop"
+
+    audit = materialize(synthesis.run_agent(spark.createDataFrame([("s",)], "id string"), propose, review, templates_per_seed=3, repairs=1, renderer=str.encode))
+    titles = [json.loads(r.template)["title"] for r in audit.filter("accepted").orderBy("template_index").collect()]
+    assert titles == ["0 from ", "1 from 0 from "] and synthesis.agent_manifest(audit, 3, 1) == {"generated": 2, "pending": 1, "seeds": 1, "attempts": 5, "status": "partial"}
+    for wrong in ({"header_rows": "1"}, {"title": None}, {"style": {"width": 7, "font_size": 15}}, {"header_rows": 9}, {"html": "<table><tr><td>&lt;nl&gt;</td></tr></table>"}):
+        with pytest.raises(ValueError):
+            synthesis.template_from_reply({"html": "<table><tr><td>a</td></tr></table>", "title": "t", "header_rows": 1, "style": {"width": 700, "font_size": 15}} | wrong, {"id": "s"}, "f")
+    rows = spark.createDataFrame([(i, f"r{i}", "table" if i else "text", "<fcel>a<nl>", "train", True) for i in range(5)], "_ord int, id string, task string, gt string, split string, gt_trusted boolean")
+    seeds, left = synthesis.choose_seeds(rows, ["_ord"], 2)
+    assert [r.id for r in seeds.orderBy("_ord").collect()] == ["r1", "r2"] and {r.id: r.reason[:9] for r in left.collect()} == {"r0": "v1_table_", "r3": "max_seeds", "r4": "max_seeds"}
     assert [(r.template_index, r.attempt, r.accepted) for r in audit.orderBy("template_index", "attempt").collect()] == [(0, 0, False), (0, 1, True), (1, 0, True), (2, 0, False), (2, 1, False)]
     last = {r.template_index: r for r in synthesis.agent_result(audit).collect()}
     assert last[0].accepted and last[0].reason is None and last[2].reason == "repair budget exhausted; see audit"
@@ -197,8 +214,11 @@ def test_json_files(spark, tmp_path):
     assert (tmp_path / "d" / "s.json").read_text(encoding="utf-8") == '{\n  "a": "é"\n}\n'
     with pytest.raises(ValueError):
         files.write_json({"a": float("nan")}, str(tmp_path / "s.json"))
-    with pytest.raises(Exception, match="finite"):
-        files.write_jsonl(spark.sql("select double('NaN') as v"), str(tmp_path / "nan"))
+    for bad in ("double('NaN') as v", "named_struct('a', array(1D, double('inf'))) as v", "map('k', float('NaN')) as v"):
+        with pytest.raises(Exception, match="finite"):
+            files.write_jsonl(spark.sql(f"select {bad}"), str(tmp_path / "nan"))
+    files.write_jsonl(spark.sql("select null as v, named_struct('a', cast(null as double), 'b', 1) as w"), str(tmp_path / "nulls"))
+    assert [json.loads(x) for f in (tmp_path / "nulls").glob("part-*") for x in f.read_text().splitlines()] == [{"v": None, "w": {"a": None, "b": 1}}]
     (tmp_path / "img").mkdir()
     (tmp_path / "img" / "a.png").write_bytes(b"123")
     r = files.read_images(spark, str(tmp_path / "img"), 2).first()
@@ -239,5 +259,149 @@ def test_report_pages_rendering_and_page_files(spark, tmp_path):
     out = materialize(synthesis.render_variants(made, renderer))
     checked = {r.id: r.reason for r in synthesis.check_records(out.withColumn("actual_hash", F.col("image_hash")), ["id"]).collect()}
     assert len(checked) == 8 and {k: v for k, v in checked.items() if v} == {"merged_header-1": "held-out or failed render QA"}
-    done = spark.createDataFrame([("a", "k", "ok", "# é", "h", None), ("b", "k", "error", None, None, "x")], pages.STATUS)
-    assert pages.write_pages(done, str(tmp_path / "p")) == 1 and (tmp_path / "p" / "a.md").read_text(encoding="utf-8") == "# é"
+    assert synthesis.render_manifest(out) == {"generated": 7, "failed": 1, "families": 4, "status": "partial"} and synthesis.gallery(out).count("<article>") == 7
+    done = pages.export(spark.createDataFrame([("a", "k"), ("b", "k"), ("c", "k")], "stem string, key string"), lambda r: {"a": {"markdown": "# é ![](i/x.png)", "json": {"n": 1}, "assets": {"i/x.png": b"png"}}, "b": {"markdown": "", "assets": {"../x": b""}}, "c": "c"}[r["stem"]])
+    assert pages.write_pages(done, str(tmp_path / "p")) == {"pages": 3, "written": 2, "by_status": {"ok": 2, "error": 1}, "status": "partial"}
+    assert (tmp_path / "p" / "assets" / "a" / "i" / "x.png").read_bytes() == b"png" and json.loads((tmp_path / "p" / "a.json").read_text()) == {"n": 1}
+    assert (tmp_path / "p" / "a.md").read_text(encoding="utf-8") == "# é ![](assets/a/i/x.png)"
+
+
+def test_images(tmp_path):
+    rng = np.random.default_rng(3)
+    pixels = rng.integers(0, 256, (7, 5, 3), dtype=np.uint8)
+    data = images.png(pixels)
+    assert (images.rgb(data) == pixels).all() and images.pixel_digest(images.rgb(data)) == images.pixel_digest(pixels)
+    ppm = b"P6\n5 7\n255\n" + pixels.tobytes()
+    assert images.pixel_digest(images.rgb(ppm)) == images.pixel_digest(pixels) != images.pixel_digest(pixels.swapaxes(0, 1))
+    for bad in (b"", b"P9 1 1", b"words", data[:40]):
+        with pytest.raises(Exception):
+            images.rgb(bad)
+    flat = images.shrink(np.full((40, 20, 3), 77, np.uint8), 10)
+    assert flat.shape == (10, 5, 3) and (flat == 77).all() and images.shrink(pixels, None) is pixels
+    (tmp_path / "a.png").write_bytes(data)
+    assert images.fetch(images.locate("a.png", str(tmp_path))) == data
+    with pytest.raises(ValueError, match="exceeds"):
+        images.fetch(str(tmp_path / "a.png"), most_bytes=10)
+
+
+def filtered_png(pixels, how):
+    """A PNG whose lines are all filtered one way."""
+    h, w, c = pixels.shape
+    raw, out = pixels.reshape(h, w * c).astype(int), bytearray()
+    for y in range(h):
+        out.append(how)
+        for x in range(w * c):
+            a, b, d = (raw[y, x - c] if x >= c else 0), (raw[y - 1, x] if y else 0), (raw[y - 1, x - c] if y and x >= c else 0)
+            p = a + b - d
+            near = a if abs(p - a) <= abs(p - b) and abs(p - a) <= abs(p - d) else b if abs(p - b) <= abs(p - d) else d
+            out.append(int(raw[y, x] - [0, a, b, (a + b) // 2, near][how]) % 256)
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, {1: 0, 3: 2, 4: 6}[c], 0, 0, 0)) + chunk(b"IDAT", zlib.compress(bytes(out))) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("how", range(5))
+@pytest.mark.parametrize("channels", [1, 3, 4])
+def test_png_filters(how, channels):
+    pixels = np.random.default_rng(how).integers(0, 256, (6, 4, channels), dtype=np.uint8)
+    assert (images.rgb(filtered_png(pixels, how)) == (np.repeat(pixels, 3, 2) if channels == 1 else pixels[:, :, :3])).all()
+
+
+class Server(http.server.BaseHTTPRequestHandler):
+    seen: list = []
+
+    def do_GET(self):
+        Server.seen.append(self.path)
+        self.send_response(200)
+        self.end_headers()
+        self.wfile.write(b"x" * 100)
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        Server.seen.append((self.path, body, self.headers["Authorization"]))
+        busy = len(Server.seen) == 1
+        self.send_response(503 if busy else 401 if body["model"] == "closed" else 200)
+        self.end_headers()
+        self.wfile.write(b"k3y is wrong" if body["model"] == "closed" else json.dumps({"choices": [{"message": {"content": "hello"}, "finish_reason": "stop"}]}).encode())
+
+    def log_message(self, *a):
+        pass
+
+
+@pytest.fixture
+def server():
+    s = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=s.serve_forever, daemon=True).start()
+    Server.seen.clear()
+    yield f"http://127.0.0.1:{s.server_port}"
+    s.shutdown()
+
+
+def test_images_and_models_over_http(server, tmp_path):
+    for _ in range(2):
+        assert images.fetch(f"{server}/a.png", cache=str(tmp_path / "c")) == b"x" * 100
+    assert Server.seen == ["/a.png"]
+    with pytest.raises(ValueError, match="exceeds"):
+        images.fetch(f"{server}/b.png", most_bytes=99)
+    Server.seen.clear()
+    endpoint = {"base_url": f"{server}/v1", "model": "m", "api_key": "k3y"}
+    waits = []
+    client = inference.VisionClient(endpoint, pause=waits.append)
+    assert client.ask("what?", b"png") == ("hello", "stop") and waits == [1]
+    path, body, key = Server.seen[1]
+    assert path == "/v1/chat/completions" and key == "Bearer k3y" and [c["type"] for c in body["messages"][0]["content"]] == ["image_url", "text"]
+    with pytest.raises(inference.Fatal) as e:
+        inference.chat(endpoint | {"model": "closed"}, [], {}, 5)
+    assert "k3y" not in str(e.value)
+    provider = inference.http_provider(C, {"sft": endpoint}, lambda r: b"png")
+    assert provider({"role": "sft", "kind": "greedy", "seed": 42, "prompt": "OCR:"}) == ("hello", "stop")
+    for bad in ("ftp://h/v1", "http://u:p@h/v1", "http://h/v1?q=1", "http:///v1", "words"):
+        with pytest.raises(ValueError):
+            inference.VisionClient({"base_url": bad, "model": "m"})
+
+
+def test_pictures_for_requests(spark, tmp_path):
+    data = images.png(np.full((30, 10, 3), 9, np.uint8))
+    (tmp_path / "a.png").write_bytes(data)
+    h = hashlib.sha256(data).hexdigest()
+    df = spark.createDataFrame([("a", "a.png", h), ("b", "a.png", "other"), ("c", "gone.png", h)], "id string, image string, image_hash string")
+    out = {r.id: r for r in inference.prepare_images(df, str(tmp_path), {"mode": "rgb", "max_side": 15}).collect()}
+    assert images.rgb(bytes(out["a"].picture)).shape == (15, 5, 3) and "changed" in out["b"].error and "FileNotFound" in out["c"].error
+
+
+def test_provenance_of_image_and_model(spark):
+    row = "id string, task string, image_hash string, candidates array<struct<role:string,kind:string,prompt:string,image_hash:string,model:string,revision:string>>"
+    c = lambda **k: tuple(({"role": "sft", "kind": "greedy", "prompt": "OCR:", "image_hash": "h", "model": "m", "revision": "1"} | k).values())
+    changes = [{}, {"prompt": "other"}, {"image_hash": "g"}, {"model": "n"}, {"revision": "2"}, {"kind": "sample", "model": "n"}]
+    df = spark.createDataFrame([(str(i), "text", "h", [c(**k)]) for i, k in enumerate(changes)], row)
+    assert sorted(r.id for r in inference.changed_provenance(df, C, {"sft": {"model": "m", "revision": "1"}}).collect()) == ["1", "2", "3", "4"]
+
+
+def test_models_that_must_not_be_averaged(spark, tmp_path):
+    a, b = {"hidden": 4, "torch_dtype": "f"}, {"hidden": 4, "torch_dtype": "g"}
+    assert tensors.config_problems({"a": a, "b": b}) == [] and tensors.config_problems({"a": a, "b": {**b, "hidden": 5, "layers": 1}}) == ["b: hidden differs from a", "b: layers differs from a"]
+    assert tensors.config_problems({"a": {**a, "quantization_config": {"bits": 4}}}) == ["a: quantized"]
+    assert tensors.side_problems({"a": {"tokenizer.json": "1", "config.json": "x", "x.bin": "1"}, "b": {"tokenizer.json": "2", "config.json": "y", "merges.txt": "1", "adapter_config.json": "z"}}) == ["b: adapter_config.json is an adapter", "b: merges.txt differs from a", "b: tokenizer.json differs from a"]
+    t = spark.createDataFrame([("a", "x", [1], "F32", [1.0]), ("a", "y", [1], "F32", [1.0]), ("b", "x", [1], "F32", [1.0]), ("b", "y", [1], "F32", [2.0])], TENSOR)
+    assert [r.model for r in tensors.tied_problems(t, [("x", "y")]).collect()] == ["b"] and tensors.tied_problems(t, []).count() == 0
+    (tmp_path / "x.safetensors").write_bytes(files.build_safetensors([("w", [1], "F32", np.array([1.0]))]))
+    for shard, ok in (("x.safetensors", True), ("y.safetensors", False)):
+        (tmp_path / "model.safetensors.index.json").write_text(json.dumps({"weight_map": {"w": shard}}))
+        if ok:
+            assert files.read_checkpoints(spark, {"m": str(tmp_path)}).count() == 1
+        else:
+            with pytest.raises(ValueError, match="agree"):
+                files.read_checkpoints(spark, {"m": str(tmp_path)})
+
+
+def test_mathml_is_cleaned():
+    ok = '<math xmlns="http://www.w3.org/1998/Math/MathML" display="inline" onclick="x"><mi href="y">a</mi></math>'
+    assert "onclick" not in report.clean_mathml(ok) and "href" not in report.clean_mathml(ok) and 'display="inline"' in report.clean_mathml(ok)
+    with pytest.raises(ValueError):
+        report.clean_mathml(ok.replace("<mi", '<b xmlns="z"').replace("</mi", "</b"))
+
+
+def test_report_before_and_after(spark):
+    rows = spark.createDataFrame([(i, f"r{i}", "b" if i < 3 else "a", (i / 10, 0.5), "xy") for i in range(8)], "_ord int, id string, task string, signals struct<base_score:double,sft_score:double>, target string")
+    page = report.render(rows.filter("_ord > 4"), rows.select("_ord", F.concat(F.lit("p"), 9 - F.col("_ord")).alias("id"), F.lit("why").alias("reason")), before=rows, sample_pages=2)
+    assert page.count("<circle") == 8 and "task (before)" in page and "task (after)" in page and "samples-2.html" in page and "gt_length" in page
+    assert page.index(">b<") < page.index(">a<") and page.index("p9\twhy") < page.index("p2\twhy")
