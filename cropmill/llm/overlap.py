@@ -7,10 +7,10 @@ them unchanged, at most t characters away, and no pair is lost. Which t + 1 segm
 dynamic program takes those that are rarest among the held-out texts, by counts in a table of fixed size.
 
 Texts that agree in a block are held against bit fingerprints: counts of groups of characters as ring codes, of which an
-edit flips at most two bits, so the Hamming radius of e edits is 2e. One covers the whole text; others cover a fixed number
-of characters from the segment on, the text taken as a ring. The segments cut that ring into t + 1 cells with t edits at
-most, so by the cycle lemma one cell has no edit and, from it on, any number of following cells has fewer edits than
-there are cells: near the segment the radius is a few bits. This happens in the join, before anything is shuffled again;
+edit flips at most two bits, so the Hamming radius of e edits is 2e. They cover fixed numbers of characters from the
+segment on, the text taken as a ring. The segments cut that ring into t + 1 cells with t edits at most, so by the cycle
+lemma one cell has no edit and, from it on, any number of following cells has fewer edits than there are cells: near the
+segment the radius is a few bits. This happens in the join, before anything is shuffled again;
 what is left is verified on the texts by edit distance.
 """
 
@@ -79,12 +79,12 @@ class _Texts:
     def cells(self, places: np.ndarray) -> np.ndarray:
         return (self.hash[places] >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    def codes(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Fingerprints from each position on, NEAR with MIDDLE and FAR, and of the whole text."""
+    def codes(self, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Fingerprints from each position on: NEAR with MIDDLE, and FAR."""
         group = np.concatenate([x for g in self.group for x in (g, g[:FAR])])
         start = self.start + FAR * np.arange(len(self.n))
         here = start[text] + at
-        close, far, whole = np.zeros(len(text), np.uint64), np.zeros(len(text), np.uint64), np.zeros(len(self.n), np.uint64)
+        close, far = np.zeros(len(text), np.uint64), np.zeros(len(text), np.uint64)
         for g in range(16):
             even = np.zeros(len(group) + 1, np.uint8)
             # Sums modulo 256 keep what is counted modulo 8.
@@ -96,8 +96,7 @@ class _Texts:
                 close |= ((c[here + NEAR] - c[here]) & 1).astype(np.uint64) << np.uint64(32 + 2 * g + k)
             close |= RING4[(both[here + MIDDLE] - both[here]) & 3] << np.uint64(2 * g)
             far |= RING8[(both[here + FAR] - both[here]) & 7] << np.uint64(4 * g)
-            whole |= RING8[(both[start + self.n] - both[start]) & 7] << np.uint64(4 * g)
-        return close.view(np.int64), far.view(np.int64), whole.view(np.int64)[text]
+        return close.view(np.int64), far.view(np.int64)
 
 
 def _slices(batches: Iterator[pd.DataFrame], keep: Callable[[pd.DataFrame], dict] = lambda b: {}) -> Iterator[tuple[_Texts, dict]]:
@@ -120,13 +119,13 @@ def _blocks(hashes: np.ndarray, place: np.ndarray, level: np.ndarray) -> np.ndar
     return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-#: at: position x 2^32 + length of the text. close, far, whole: fingerprints. cells: the numbers of other segments within
+#: at: position x 2^32 + length of the text. close, far: fingerprints. cells: the numbers of other segments within
 #: NEAR, MIDDLE and FAR characters from this one on, a byte each; 0 for held-out texts.
-BLOCKS = "block bigint, key bigint, at bigint, close bigint, far bigint, whole bigint, cells bigint"
+BLOCKS = "block bigint, key bigint, at bigint, close bigint, far bigint, cells bigint"
 
 
 def _rows(t: _Texts, block: np.ndarray, text: np.ndarray, at: np.ndarray, codes: tuple[np.ndarray, ...], cells: np.ndarray | int = 0) -> pd.DataFrame:
-    return pd.DataFrame({"block": block, "key": t.keys[text], "at": (at << 32) + t.n[text], **dict(zip(("close", "far", "whole"), codes)), "cells": cells})
+    return pd.DataFrame({"block": block, "key": t.keys[text], "at": (at << 32) + t.n[text], **dict(zip(("close", "far"), codes)), "cells": cells})
 
 
 def _shown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,16 +272,16 @@ def _size(c: str) -> Column:
 
 
 def _met(sought: DataFrame, shown: DataFrame) -> DataFrame:
-    """(t_key, h_key): texts that agree in a segment, and from it on and as a whole are no farther apart than the edits allowed."""
+    """(t_key, h_key): texts that agree in a segment and, from it on, are no farther apart than the edits allowed."""
     on = [c for c in sought.columns if c in ("block", "a", "b")]
-    side = lambda df, x, *more: df.select(*on, *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", "close", "far", "whole", *more)])
+    side = lambda df, x, *more: df.select(*on, *[F.col(c).alias(f"{x}_{c}") for c in ("key", "at", "close", "far", *more)])
     edits = F.floor(F.greatest(_size("t_at"), _size("h_at")) * EDITS / 100)
     left, right = F.abs(_place("t_at") - _place("h_at")), F.abs((_size("t_at") - _place("t_at")) - (_size("h_at") - _place("h_at")))
     differ = lambda c: F.col(f"t_{c}").bitwiseXOR(F.col(f"h_{c}"))
     most = lambda k: F.shiftright("t_cells", 8 * k).bitwiseAND(255) * 2
     near = (
         (F.bit_count(F.shiftrightunsigned(differ("close"), 32)) <= most(0)) & (F.bit_count(differ("close").bitwiseAND(0xFFFFFFFF)) <= most(1)) & (F.bit_count(differ("far")) <= most(2))
-        & (left + right <= edits) & (F.bit_count(differ("whole")) <= 2 * edits) & (F.col("t_key") != F.col("h_key"))
+        & (left + right <= edits) & (F.col("t_key") != F.col("h_key"))
     )
     return side(sought, "t", "cells").join(side(shown, "h"), on).filter(near).select("t_key", "h_key").distinct()
 
