@@ -56,15 +56,15 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return packing.oversized_of(packing.pack(packing.pieces(table(spark, d, "documents"))))
+    return packing.oversized_of(packing.pack(packing.pieces(table(spark, d, "documents")))[0])
 
 
 def p6_containers(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(packing.pieces(table(spark, d, "documents")))
+    return packing.pack(packing.pieces(table(spark, d, "documents")))[0]
 
 
 def p6_report(spark: SparkSession, d: str) -> DataFrame:
-    return packing.report(packing.pack(packing.pieces(table(spark, d, "documents"))))
+    return packing.report(*packing.pack(packing.pieces(table(spark, d, "documents"))))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -14,7 +14,7 @@ def test_plan_holds_every_item_once(seed):
     hist = Counter(min(1024, max(1, int(rng.expovariate(1 / rng.choice([30, 120, 500]))))) for _ in range(rng.choice([1, 40, 3000])))
     done = Counter()
     n = 0
-    for sizes, copies, times in packing.plan(hist):
+    for sizes, copies, times in packing.plan(hist).fillings:
         assert (sizes * copies).sum() <= packing.UNITS and times > 0
         n += times
         for s, c in zip(sizes.tolist(), copies.tolist()):
@@ -24,10 +24,27 @@ def test_plan_holds_every_item_once(seed):
     assert n <= least * 1.02 + 2 or max(hist) > packing.UNITS // 2
 
 
+@pytest.mark.parametrize("kind", ["middle", "thirds", "lognormal"])
+def test_program_needs_fewer_containers_than_filling(kind):
+    rng = random.Random(7)
+    draw = {"middle": lambda: rng.randint(325, 550), "thirds": lambda: rng.choice([342, 341, 513, 175, 498]), "lognormal": lambda: min(1024, max(1, int(rng.lognormvariate(4.6, 1))))}[kind]
+    hist = Counter(draw() for _ in range(100_000))
+    made, plain = packing.plan(hist), packing.plan(hist, rounds=0)
+    assert made.bound <= made.containers() < plain.containers() and made.containers() <= 1.025 * made.bound
+    assert made.programmed >= 0.5 * hist.total()
+
+
+def test_bound_is_one():
+    """Prices can't promise more containers than an optimal packing has."""
+    for hist, best in (({512: 7}, 4), ({342: 9}, 5), ({341: 9}, 3), ({600: 5, 424: 5}, 5), ({1024: 3}, 3)):
+        made = packing.plan(hist)
+        assert made.bound <= best <= made.containers() <= best + 1
+
+
 def test_plan_does_not_depend_on_the_number_of_items():
     hist = {17: 10**9, 300: 10**8, 511: 123_456_789, 1024: 5}
     done = Counter()
-    for sizes, copies, times in packing.plan(hist):
+    for sizes, copies, times in packing.plan(hist).fillings:
         for s, c in zip(sizes.tolist(), copies.tolist()):
             done[s] += c * times
     assert done == hist
@@ -40,7 +57,7 @@ def test_pack(spark):
     rng = random.Random(3)
     rows = [(i, " word" * rng.choice([1, 7, 7, 90, 1500]), "s", 0) for i in range(60)] + [(100, None, "s", 0), (101, "", "s", 0), (102, " word" * 9000, "s", 0), (103, " word" * 4096, "s", 0)]
     df = spark.createDataFrame(rows, DOCS)
-    packed = packing.pack(packing.pieces(df))
+    packed, made = packing.pack(packing.pieces(df))
     out = packed.collect()
     tokens = {r.doc_id: r.tokens for r in with_tokens(df).collect()}
     per = Counter()
@@ -52,8 +69,8 @@ def test_pack(spark):
     assert split == {102} == {r.doc_id for r in packing.oversized_of(packed).collect()}
     pieces = sorted((r.start, r.length) for r in out if r.doc_id == 102)
     assert [s for s, _ in pieces] == [0, 4096, 8192] and tokens[100] == tokens[101] == 0
-    assert packing.report(packed).first().fullest <= 4096
-    assert packing.pack(packing.pieces(df.limit(0))).count() == 0
+    assert packing.report(packed, made).first().fullest <= 4096
+    assert packing.pack(packing.pieces(df.limit(0)))[0].count() == 0
 
 
 def test_tokens_equal_the_library(spark):
