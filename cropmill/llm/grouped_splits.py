@@ -60,7 +60,7 @@ def components(links: DataFrame, links_per_task: int = LINKS_PER_TASK) -> DataFr
 
     Links with a null end, of a node to itself, repeated or closing a circle change nothing; nodes without a link don't
     come out. The key of a node changes with the level, so that chains shrink by a constant part each level in any
-    order of names; a hub is spread over all partitions of its links and never gathered by one task. An empty table
+    order of names; links are spread by both ends, so a hub is never gathered by one task. An empty table
     gives an empty table.
     """
     spark = links.sparkSession
@@ -73,7 +73,7 @@ def components(links: DataFrame, links_per_task: int = LINKS_PER_TASK) -> DataFr
         if left is None:
             left = links.count()
         parts = max(1, -(-left // links_per_task))
-        forest = materialize(keyed.repartition(parts, F.xxhash64(F.least("a", "b"))).mapInPandas(_forest, "node string, root string, kroot bigint"))
+        forest = materialize(keyed.repartition(parts, F.xxhash64(F.lit(level), "a", "b")).mapInPandas(_forest, "node string, root string, kroot bigint"))
         best = forest.groupBy("node").agg(F.min(F.struct("kroot", "root"))["root"].alias("up"))
         best = materialize(best)
         if parts == 1:
