@@ -116,3 +116,24 @@ def test_mix(spark):
     assert lines["big"].used_tokens == lines["big"].budget
     empty, rep = mixing.mix_sources(spark.createDataFrame([], DOCS), weights)
     assert empty.count() == 0 and not rep.filter("short").count()
+
+
+def test_mix_of_long_texts(spark, monkeypatch):
+    """Lengths in classes: the report holds what the chosen texts really have, and the budget is met but for less than the shortest text left."""
+    monkeypatch.setattr(mixing, "LONG", 64)
+    rng = random.Random(5)
+    rows = [(i, f" w{i}" + " word" * rng.randint(100, 900), "a", 0) for i in range(120)] + [(1000 + i, f" v{i}" + " word" * rng.randint(1, 30), "a", 0) for i in range(40)] + [(2000 + i, f" u{i}" + " word" * 300, "b", 0) for i in range(90)]
+    weights = spark.createDataFrame([("a", 0.3, 1), ("b", 0.7, 2)], "source string, target_weight double, max_repeats int")
+    mix, rep = mixing.mix_sources(spark.createDataFrame(rows, DOCS), weights)
+    out = mix.collect()
+    for r in rep.collect():
+        used = sum(x.tokens * x.copies for x in out if x.source == r.source)
+        assert used == r.used_tokens <= r.budget and len({x.doc_id for x in out}) == len(out)
+        if r.source == "a":
+            assert r.budget - used <= 2
+
+
+def test_classes_of_lengths(spark):
+    df = spark.createDataFrame([(n,) for n in [0, 1, 63, 4095, 4096, 4097, 5000, 8191, 8192, 8193, 10**6, 10**12 + 7]], "n bigint")
+    for r in df.select("n", mixing.length_class(F.col("n")).alias("c")).collect():
+        assert r.c == r.n if r.n <= mixing.LONG else r.n <= r.c <= r.n + r.n // 64
