@@ -21,7 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Letters of Cyrillic and Greek drawn as a Latin letter, beside that letter.
+#: Letters of Cyrillic and Greek drawn as a Latin letter, beside that letter. The list holds letters that have
+#: the same shape in common upright fonts. It leaves out look-alikes that a reader can tell apart (v and ѵ, y and
+#: ү), letters of other scripts (Armenian, Cherokee, Coptic), and small Greek letters other than omicron, nu and the two lunates.
 CYRILLIC = "АВЕЅІЈКМНОРСТУХасеѕіјорухһԁԛԝӏ", "ABESIJKMHOPCTYXacesijopyxhdqwl"
 GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονϲϳ", "ABEZHIKMNOPTYXovcj"
 #: Characters that are drawn as another, beyond what Unicode's compatibility mappings say.
@@ -156,28 +158,37 @@ def stable(c: Column) -> Column:
     return c.rlike(STABLE)
 
 
+def _canonical_arrays(s: pd.Series) -> pd.Series:
+    return s.map(lambda texts: [canonical(t) for t in texts], na_action="ignore")
+
+
 def canonical_texts(samples: DataFrame) -> DataFrame:
-    """All texts of all samples: (id, candidate_id, text, canonical), candidate_id null for the gt.
+    """All texts of all samples: (id, is_gt, candidate_id, text, canonical); candidate_id is null for the gt.
 
-    Null texts give no row, empty texts an empty form. Deliveries of a sample in several rows give one row.
+    Null texts give no row, empty texts an empty form. Deliveries of a sample in several rows give one row; candidates of
+    one id, or of none, with different texts are all there.
     """
     pair = F.concat(
-        F.array(F.struct(F.lit(None).cast("string").alias("candidate_id"), F.col("gt").alias("text"))),
-        F.coalesce(F.transform("candidates", lambda c: F.struct(c["id"].alias("candidate_id"), c["text"].alias("text"))), F.array()),
+        F.array(F.struct(F.lit(True).alias("is_gt"), F.lit(None).cast("string").alias("candidate_id"), F.col("gt").alias("text"))),
+        F.coalesce(F.transform("candidates", lambda c: F.struct(F.lit(False).alias("is_gt"), c["id"].alias("candidate_id"), c["text"].alias("text"))), F.array()),
     )
-    texts = samples.select("id", F.explode(pair).alias("__t")).select("id", "__t.*").filter(F.col("text").isNotNull())
+    texts = samples.select("id", F.explode(pair).alias("__t")).select("id", "__t.*").filter(F.col("text").isNotNull()).distinct()
     fixed = texts.filter(stable(F.col("text"))).withColumn("canonical", F.col("text"))
     moved = texts.filter(~stable(F.col("text"))).withColumn("canonical", canonical_column(F.col("text")))
-    return fixed.unionByName(moved).dropDuplicates(["id", "candidate_id"])
+    return fixed.unionByName(moved)
 
 
 def equal_answers(samples: DataFrame) -> DataFrame:
     """(id, candidate_id): candidates whose text differs from the gt of their sample as a string and equals it in form.
 
-    Null gt, null text and empty lists give no row. Pairs of two stable texts are their own forms and were seen to differ.
+    Null gt, null text and empty lists give no row. Pairs of two stable texts are their own forms and were seen to
+    differ. The gt of a sample is normalised once, with all candidates that are open.
     """
-    answers = samples.filter(F.col("gt").isNotNull() & F.col("id").isNotNull()).select(F.col("id"), "gt", F.explode("candidates").alias("__c"))
-    answers = answers.select("id", "gt", F.col("__c.id").alias("candidate_id"), F.col("__c.text").alias("text"))
-    open_ = answers.filter((F.col("gt") != F.col("text")) & ~(stable(F.col("gt")) & stable(F.col("text"))))
-    forms = open_.select("id", "candidate_id", canonical_column(F.col("gt")).alias("a"), canonical_column(F.col("text")).alias("b"))
-    return forms.filter(F.col("a") == F.col("b")).select("id", "candidate_id").distinct()
+    differs = lambda c: F.coalesce((c["text"] != F.col("gt")) & ~(F.col("__stable") & stable(c["text"])), F.lit(False))
+    rows = samples.filter(F.col("gt").isNotNull() & F.col("id").isNotNull()).withColumn("__stable", stable(F.col("gt")))
+    rows = rows.select("id", "gt", F.filter("candidates", differs).alias("__open")).filter(F.size("__open") > 0)
+    texts = F.concat(F.array("gt"), F.transform("__open", lambda c: c["text"]))
+    # Nondeterministic, so that no filter on the result computes it again.
+    forms = rows.select("id", F.col("__open.id").alias("__ids"), F.pandas_udf(_canonical_arrays, "array<string>").asNondeterministic()(texts).alias("__forms"))
+    each = forms.select("id", F.get("__forms", F.lit(0)).alias("a"), F.explode(F.arrays_zip(F.col("__ids").alias("candidate_id"), F.slice("__forms", F.lit(2), F.size("__ids")).alias("b"))).alias("__c"))
+    return each.filter(F.col("a") == F.col("__c.b")).select("id", F.col("__c.candidate_id").alias("candidate_id")).distinct()

@@ -69,6 +69,13 @@ def test_final_line_terminators_are_not_stable(spark):
     ends = ["\n", "\r", "\r\n", chr(0x85), chr(0x2028), chr(0x2029)]
     rows = [(f"r{i}", f"abc{e}", [("c0", "abc\n")], 1) for i, e in enumerate(ends)]
     df = spark.createDataFrame(rows, SCHEMA)
-    texts = {r.id: r.canonical for r in c.canonical_texts(df).filter("candidate_id IS NULL").collect()}
+    texts = {r.id: r.canonical for r in c.canonical_texts(df).filter("is_gt").collect()}
     assert texts == {f"r{i}": c.canonical(f"abc{e}") for i, e in enumerate(ends)}
     assert {r[0] for r in c.equal_answers(df).collect()} == {f"r{i}" for i, e in enumerate(ends) if c.canonical(f"abc{e}") == "abc\n" and e != "\n"} >= {"r1", "r2"}
+
+
+def test_candidates_without_an_id_are_all_there(spark):
+    rows = [("a", "q", [(None, "x"), (None, "ｙ"), ("c", "q")], 1), (None, "p", [(None, "p")], 1), (None, "r", None, 1)]
+    got = sorted((r.id or "", r.is_gt, r.text, r.canonical) for r in c.canonical_texts(spark.createDataFrame(rows + rows[:1], SCHEMA)).collect())
+    assert got == [("", False, "p", "p"), ("", True, "p", "p"), ("", True, "r", "r"), ("a", False, "q", "q"), ("a", False, "x", "x"), ("a", False, "ｙ", "y"), ("a", True, "q", "q")]
+    assert {tuple(r) for r in c.equal_answers(spark.createDataFrame([("a", "y", [(None, "ｙ"), ("d", "y")], 1)], SCHEMA)).collect()} == {("a", None)}
