@@ -58,22 +58,19 @@ def mine_rows(rows: DataFrame, config: dict, order: list[Column]) -> tuple[DataF
     clean = kept(isolated)
     marked = materialize(assign_buckets(clean, config))
     budgets = quota.apportion(config["mining"]["budget"], config["mining"]["buckets"])
-    chosen, reports = None, None
-    for i, (name, n) in enumerate(budgets.items()):
-        own = marked.filter(F.col("mining_bucket") == name)
-        if name == "coverage":
-            picked, report = quota.stratify(quota.shuffled_order(own, order, config["seed"]), n, config, [F.col("__place")])
-            picked = picked.drop("__place")
-        else:
-            picked, report = quota.stratify(own, n, config, quota.priority_order(config))
-        picked = materialize(picked.withColumn("__stage", F.lit(i)))
-        report = report.withColumn("stage", F.lit(name))
-        chosen = picked if chosen is None else chosen.unionByName(picked)
-        reports = report if reports is None else reports.unionByName(report)
+    stages = {name: i for i, name in enumerate(budgets)}
+    coverage = marked.filter("mining_bucket = 'coverage'").select("id", F.struct(*order).alias("__arrived"))
+    places = quota.shuffled_order(coverage, [F.col("__arrived")], config["seed"]).select("id", "__place")
+    rank = F.coalesce(F.col("__place").cast("double"), -F.coalesce(F.col("signals.priority"), F.lit(0.0)))
+    chosen, reports = quota.stratify_each(marked.join(places, "id", "left"), budgets, F.col("mining_bucket"), config, [rank, F.col("id").cast("string")])
+    stage = F.lit(None).cast("int")
+    for name, i in stages.items():
+        stage = F.when(F.col("__bucket") == name, i).otherwise(stage)
+    chosen = materialize(chosen.drop("__place").withColumn("__stage", stage).drop("__bucket"))
     deficit = max(0, config["mining"]["budget"] - chosen.count())
     rest = marked.join(chosen.select("id"), "id", "left_anti")
     filled, report = quota.stratify(rest, deficit, config, quota.priority_order(config))
-    reports = reports.unionByName(report.withColumn("stage", F.lit("backfill")))
+    reports = reports.withColumnRenamed("bucket", "stage").unionByName(report.withColumn("stage", F.lit("backfill")))
     every = materialize(chosen.withColumn("mining_backfill", F.lit(False)).unionByName(filled.withColumn("__stage", F.lit(len(budgets))).withColumn("mining_backfill", F.lit(True))))
     out = every.withColumn("position", F.struct("__stage", "__position")).drop("__stage", "__position")
     unscored = is_train(clean) & F.col("score_gt").isNotNull() & trusted() & F.col("signals.sft_score").isNull()

@@ -77,32 +77,43 @@ def shuffled_order(rows: DataFrame, order: list[Column], seed: int) -> DataFrame
 
 
 def stratify(rows: DataFrame, budget: int, config: dict, order: list[Column], bucketed: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(selected rows with `__position`, report by category).
+    """(selected rows with `__position`, report by category): `stratify_each` for one budget."""
+    chosen, report = stratify_each(rows, {"": budget}, F.lit(""), config, order, bucketed)
+    return chosen.drop("__bucket"), report.drop("bucket")
+
+
+def stratify_each(rows: DataFrame, budgets: dict[str, int], bucket: Column, config: dict, order: list[Column], bucketed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(selected rows with `__bucket` and `__position`, report by bucket and category): every bucket has a budget of its own.
 
     Each category takes its quota in `order`, then the rows left over fill up to the budget in that order. `order` must
     be total. Only the order and the category of a row are ranked: by a window over each category that keeps no more
-    than the budget of it (a top-k the window prunes before the shuffle), then by a top-k of the budget. The rows
-    chosen, at most `budget`, are joined to the rest of their columns. A budget of 0 selects nothing; empty tables select
-    nothing.
+    than the budget of it (a top-k the window prunes before the shuffle), then by a top-k of each bucket. The rows
+    chosen, at most the budgets, are joined to the rest of their columns. A budget of 0 selects nothing; empty tables and
+    rows of a bucket without a budget select nothing.
     """
     spark = rows.sparkSession
-    quotas = desired_quotas(budget, config, bucketed)
-    wanted = spark.createDataFrame(list(quotas.items()), "__cat string, __desired bigint")
+    quotas = [(b, c, q) for b, n in budgets.items() for c, q in desired_quotas(n, config, bucketed).items()]
+    wanted = spark.createDataFrame(quotas, "__bucket string, __cat string, __desired bigint")
+    allowed = F.lit(0)
+    for b, n in budgets.items():
+        allowed = F.when(F.col("__bucket") == b, n).otherwise(allowed)
+    most = max(budgets.values())
     names = [f"__o{i}" for i in range(len(order))]
-    keyed = rows.withColumn("__cat", category(config, bucketed)).withColumns({n: o for n, o in zip(names, order)})
+    keyed = rows.withColumn("__bucket", bucket).withColumn("__cat", category(config, bucketed)).withColumns({n: o for n, o in zip(names, order)})
     keyed = keyed.withColumn("__row", F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b")))
-    slim = keyed.select("__row", "__cat", *names)
-    within = slim.withColumn("__rn", F.row_number().over(W.partitionBy("__cat").orderBy(*names))).filter(F.col("__rn") <= budget)
-    placed = within.join(F.broadcast(wanted), "__cat", "left").withColumn("__in", F.col("__rn") <= F.coalesce("__desired", F.lit(0)))
+    slim = keyed.filter(F.col("__bucket").isin(*budgets)).select("__row", "__bucket", "__cat", *names)
+    within = slim.withColumn("__rn", F.row_number().over(W.partitionBy("__bucket", "__cat").orderBy(*names))).filter(F.col("__rn") <= most)
+    placed = within.join(F.broadcast(wanted), ["__bucket", "__cat"], "left").withColumn("__in", F.col("__rn") <= F.coalesce("__desired", F.lit(0)))
     placed = materialize(placed)
-    top = placed.orderBy(F.col("__in").desc(), *names).limit(budget)
-    top = materialize(top.select("__row", "__cat", F.row_number().over(W.orderBy(F.col("__in").desc(), *names)).alias("__position")))
-    chosen = keyed.drop("__cat").join(top, "__row")
-    counts = placed.filter("__in").groupBy("__cat").agg(F.count("*").alias("in_quota"))
-    actual = top.groupBy("__cat").agg(F.count("*").alias("actual"))
-    report = wanted.join(counts, "__cat", "left").join(actual, "__cat", "full").select(F.col("__cat").alias("category"), F.coalesce("__desired", F.lit(0)).alias("desired"), F.coalesce("in_quota", F.lit(0)).alias("in_quota"), F.coalesce("actual", F.lit(0)).alias("actual"))
+    top = placed.withColumn("__position", F.row_number().over(W.partitionBy("__bucket").orderBy(F.col("__in").desc(), *names))).filter(F.col("__position") <= most)
+    top = materialize(top.filter(F.col("__position") <= allowed).select("__row", "__bucket", "__cat", "__position"))
+    chosen = keyed.drop("__cat", "__bucket").join(top.drop("__cat"), "__row")
+    counts = placed.filter("__in").groupBy("__bucket", "__cat").agg(F.count("*").alias("in_quota"))
+    actual = top.groupBy("__bucket", "__cat").agg(F.count("*").alias("actual"))
+    report = wanted.join(counts, ["__bucket", "__cat"], "left").join(actual, ["__bucket", "__cat"], "full")
+    report = report.select(F.col("__bucket").alias("bucket"), F.col("__cat").alias("category"), *[F.coalesce(c, F.lit(0)).alias(n) for n, c in (("desired", "__desired"), ("in_quota", "in_quota"), ("actual", "actual"))])
     report = report.withColumn("shortfall", F.greatest(F.col("desired") - F.col("in_quota"), F.lit(0)))
-    return chosen.drop("__cat", "__row", *names), report
+    return chosen.drop("__row", *names), report
 
 
 def quantiles(rows: DataFrame, groups: list[str], value: str, qs: list[float], tie: str) -> DataFrame:

@@ -87,6 +87,35 @@ def score_samples(s: Spark, d: str) -> DataFrame:
     return scored.select("id", F.posexplode_outer("candidates").alias("at", "c")).filter("at IS NOT NULL").select("id", "at", F.col("c.id").alias("candidate_id"), "c.quality.score", "c.quality.status", "c.quality.metric", F.col("c.quality.exact").alias("exact"), "c.quality.cer", "c.quality.wer", "c.quality.teds_s")
 
 
+def _plain(s: Spark, d: str) -> DataFrame:
+    """Samples whose truth is text or a formula, which need no table codec."""
+    return clean_samples(s, d).filter(F.col("task").isin("text", "formula"))
+
+
+def score_ascii(s: Spark, d: str) -> DataFrame:
+    """Qualities of text and formulas in ASCII, of which a byte is a character."""
+    ascii_ = lambda c: c.rlike(r"^[\x00-\x7f]*\z")
+    rows = _plain(s, d).filter(ascii_(F.col("gt"))).withColumn("candidates", F.filter(F.coalesce("candidates", F.array()), lambda c: F.coalesce(ascii_(c["text"]), F.lit(False))))
+    scored = score.score_rows(rows, CONFIG).select("id", F.explode("candidates").alias("c"))
+    return scored.select("id", F.col("c.id").alias("candidate_id"), "c.quality.score", "c.quality.status", "c.quality.exact", "c.quality.cer", "c.quality.wer")
+
+
+def import_plain(s: Spark, d: str) -> DataFrame:
+    """Import of text and formulas by themselves: errors, leaks, duplicates."""
+    return importing.import_rows(_plain(s, d).drop("target", "score_gt"), CONFIG, arrival()).select("id", "reason", "duplicate_of")
+
+
+def pairs_plain(s: Spark, d: str) -> DataFrame:
+    """Pairs of text and formulas by themselves, and why there is none."""
+    return pairs.make_pairs(_plain(s, d), CONFIG).select("id", "pair_reason", "pair_audit.chosen_id", "pair_audit.rejected_id", F.round("pair_audit.gap", 9).alias("gap"))
+
+
+def mine_reasons(s: Spark, d: str) -> DataFrame:
+    """How many samples mining chose, and how many it left for each reason."""
+    chosen, left, _ = mine.mine_rows(clean_samples(s, d).drop("mining_bucket"), CONFIG, arrival())
+    return chosen.select(F.lit("chosen").alias("reason")).unionByName(left.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 def scored_signals(s: Spark, d: str) -> DataFrame:
     scored = score.score_rows(clean_samples(s, d), CONFIG).select("id", "signals.*")
     return scored.withColumns({c: F.col(f"{c}.score") for c in ("disagreement_forward", "disagreement_backward")})
@@ -299,7 +328,7 @@ FLAGSHIP = mine_rows
 
 _ALL = (
     clean_labels, normalize_samples, import_samples, field_mapping_defaults, sft_adapter, hash_split, derived_ids, forbidden_keys, isolate_reasons, leak_filter, excluded_documents,
-    duplicate_ids, formula_forms, text_forms, score_samples, scored_signals, word_errors, signals, usable_candidates, role_liveness, task_thresholds, bucket_assign, bucket_counts,
+    duplicate_ids, formula_forms, text_forms, score_samples, score_ascii, import_plain, pairs_plain, mine_reasons, scored_signals, word_errors, signals, usable_candidates, role_liveness, task_thresholds, bucket_assign, bucket_counts,
     apportion_budget, stratify_quota, quota_report, coverage_hash_order, mine_rows, mine_exclusions, make_pairs, build_pairs, pending_union, dpo_validate, preflight_lengths,
     audit_alignment, request_keys, cache_misses, otsl_tokens, grid_features, report_counts, report_bars, report_histogram, report_scatter, report_pages, exclusion_reasons,
     tensor_average, tensor_keys, buffers_equal, finite_check, shard_packing, template_check, template_variants, template_seeds, seed_reasons, page_resume, stale_pages,

@@ -89,12 +89,58 @@ _FORMULA = f"""CASE WHEN starts_with(t, '$$') AND ends_with(t, '$$') THEN {_stri
   WHEN starts_with(t, '\\(') AND ends_with(t, '\\)') THEN {_strip("substring(t, 3, greatest(length(t) - 4, 0))")}
   WHEN starts_with(t, '$') AND ends_with(t, '$') THEN {_strip("substring(t, 2, greatest(length(t) - 2, 0))")} ELSE t END"""
 
+
+
+def _form(x: str) -> str:
+    """The comparable form of a text or formula of the row."""
+    text = _strip(rf"replace(nfc_normalize({x}), e'\r\n', e'\n')")
+    formula = f"list_transform([{text}], lambda t: {_FORMULA})[1]"
+    return f"CASE WHEN task = 'formula' THEN {formula} ELSE {text} END"
+
+
+_SPACE = f"[{''.join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))}]+"
+
+
+def _wer(p: str, g: str) -> str:
+    """Word error rate: words become single bytes, by their place among the words of both texts."""
+    p, g = (f"list_filter(string_split_regex({x}, '{_SPACE}'), lambda x: x <> '')" for x in (p, g))
+    code = lambda w: f"coalesce(array_to_string(list_transform({w}, lambda x: chr(list_position(list_distinct(list_concat({p}, {g})), x)::INT)), ''), '')"
+    return f"levenshtein({code(p)}, {code(g)}) / len({g})"
+
+
 _GREEDY = "list_filter(coalesce(candidates, []), lambda c: coalesce(c.role = '{}' AND c.kind = 'greedy', false))[1].quality.score"
 _USABLE = "coalesce(c.status = 'ok' AND c.finish_reason IN ('stop', 'eos') AND c.quality.score IS NOT NULL AND c.quality.status IN ('ok', 'invalid_prediction'), false)"
 _PROMPT = "CASE task WHEN 'table' THEN 'Table Recognition:' WHEN 'text' THEN 'OCR:' WHEN 'formula' THEN 'Formula Recognition:' END"
 _REQUESTS = f"""
 J AS (SELECT S.id AS sample_id, role, 'greedy' AS kind, 0 AS index, {_PROMPT} AS prompt, 42 AS seed, pixel_hash FROM S CROSS JOIN (VALUES ('base'), ('sft')) AS r(role)),
 M AS (SELECT *, sha256('{{"endpoint": "http://localhost/v1", "extra_body": {{}}, "image": ' || coalesce('"' || pixel_hash || '"', 'null') || ', "index": 0, "kind": "greedy", "model": "' || role || '-model", "params": {{"max_tokens": 4096, "seed": 42, "temperature": 0, "top_p": 1.0}}, "preprocess": {{"max_side": null, "mode": "rgb"}}, "prompt": ' || coalesce('"' || prompt || '"', 'null') || ', "revision": "' || role || '-v1"}}') AS id FROM J)"""
+_ERROR = f"""CASE WHEN domain NOT IN ('private', 'general') THEN 'domain outside the mixture' WHEN split NOT IN ('train', 'eval', 'val', 'test') THEN 'unsupported split'
+  WHEN gt IS NOT NULL AND {_strip("gt")} = '' THEN 'blank gt' WHEN gt IS NOT NULL AND gt_format <> CASE task WHEN 'formula' THEN 'latex' ELSE 'text' END THEN 'gt_format doesn''t fit the task' END"""
+_IMPORT = f"""
+P AS (SELECT *, {_ERROR} AS error FROM S WHERE task IN ('text', 'formula')),
+K AS (
+  SELECT id, split, error, 'document' AS kind, coalesce(document_id, '') AS value FROM P WHERE document_id <> ''
+  UNION SELECT id, split, error, 'hash', pixel_hash FROM P WHERE pixel_hash <> ''
+  UNION SELECT id, split, error, 'hash', parent_image_hash FROM P WHERE parent_image_hash <> ''),
+F AS (SELECT DISTINCT kind, value FROM K WHERE split <> 'train'),
+L AS (SELECT DISTINCT id FROM K WHERE split = 'train' AND error IS NULL AND (kind, value) IN (SELECT (kind, value) FROM F)),
+G AS (
+  SELECT *, row_number() OVER w AS rn, first_value(id) OVER w AS fid, first_value(gt) OVER w AS fgt, first_value(task) OVER w AS ftask
+  FROM P WHERE error IS NULL AND id NOT IN (SELECT id FROM L) WINDOW w AS (PARTITION BY pixel_hash ORDER BY ingested_at, batch_no, id)),
+H AS (SELECT *, gt IS DISTINCT FROM fgt OR task IS DISTINCT FROM ftask AS differs FROM G)
+SELECT id, CASE WHEN rn > 1 AND differs THEN 'duplicate_conflicting_gt' WHEN rn > 1 THEN 'duplicate_image' WHEN bool_or(differs) OVER (PARTITION BY pixel_hash) THEN 'duplicate_conflicting_gt' END AS reason,
+  CASE WHEN rn > 1 THEN fid END AS duplicate_of FROM H
+UNION ALL SELECT id, 'evaluation_overlap', NULL FROM L UNION ALL SELECT id, 'import_error: ' || error, NULL FROM P WHERE error IS NOT NULL"""
+_PAIRS = f"""
+P AS (SELECT * FROM S WHERE task IN ('text', 'formula')),
+U AS (SELECT id, task, gt, unnest(candidates) AS c FROM P),
+V AS (SELECT id, task, c.id AS cid, c.quality.score AS score, (coalesce(c.role, '') <> 'sft')::INT AS other, {_form("c.text")} AS form, c.quality.status = 'ok' AND c.quality.score >= CASE task WHEN 'text' THEN 0.95 ELSE 0.9 END AS good FROM U WHERE {_USABLE}),
+B AS (SELECT id, cid, score, form FROM V WHERE good QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other, cid) = 1),
+C AS (SELECT P.id, coalesce(cid, 'gt') AS cid, coalesce(score, 1.0::DOUBLE) AS score, CASE WHEN cid IS NULL THEN {_form("gt")} ELSE form END AS form FROM P LEFT JOIN B USING (id)),
+N AS (SELECT V.id, V.cid, V.score, C.score - V.score AS gap FROM V JOIN C USING (id) WHERE C.score - V.score >= 0.05 - 1e-10 AND V.form <> C.form QUALIFY row_number() OVER (PARTITION BY V.id ORDER BY other, V.score DESC, V.cid) = 1),
+Z AS (SELECT P.id, CASE WHEN split <> 'train' THEN 'held_out' WHEN gt IS NULL THEN 'missing_gt' WHEN NOT {_TRUSTED} THEN 'untrusted_gt' WHEN P.id NOT IN (SELECT id FROM V) THEN 'no_scored_candidates' WHEN N.id IS NULL THEN 'no_meaningful_preference_gap' END AS pair_reason,
+  C.cid AS chosen, N.cid AS rejected, gap FROM P LEFT JOIN C USING (id) LEFT JOIN N USING (id))
+SELECT id, pair_reason, CASE WHEN pair_reason IS NULL THEN chosen END AS chosen_id, CASE WHEN pair_reason IS NULL THEN rejected END AS rejected_id, CASE WHEN pair_reason IS NULL THEN round(gap, 9) END AS gap FROM Z"""
 _TENSORS = "WITH T AS (SELECT 'm' || (vec_id % 4) AS model, lpad((vec_id // 4)::VARCHAR, 9, '0') AS key, embedding AS v, label FROM embeddings)"
 _WIDE = f"{_TENSORS}, G AS (SELECT key, count(*) AS n, {', '.join(f'any_value(v) FILTER (model = {chr(39)}m{i}{chr(39)}) AS v{i}' for i in range(4))} FROM T GROUP BY key)"
 _MEAN = "CASE WHEN n = 4 THEN list_transform(range(1, len(v0) + 1), lambda i: (((0.0::FLOAT + v0[i] * 0.125::FLOAT)::FLOAT + v1[i] * 0.25::FLOAT)::FLOAT + v2[i] * 0.375::FLOAT)::FLOAT + v3[i] * 0.25::FLOAT) END"
@@ -144,6 +190,21 @@ SELECT id FROM S WHERE split = 'train' AND (id IN (SELECT id FROM L) OR document
         "duplicate_ids": "SELECT id, batch_no, (rn - 1)::INT AS repeat FROM (SELECT id, batch_no, row_number() OVER (PARTITION BY id ORDER BY ingested_at, batch_no) AS rn FROM samples WHERE id IS NOT NULL) WHERE rn > 1",
         "formula_forms": f"{S}, A AS (SELECT id, {_TEXT} AS t FROM S WHERE task = 'formula' AND gt IS NOT NULL) SELECT id, {_FORMULA} AS form FROM A",
         "text_forms": f"{S} SELECT id, {_TEXT} AS form FROM S WHERE task = 'text' AND gt IS NOT NULL",
+        "score_ascii": rf"""{S}, P AS (SELECT * FROM S WHERE task IN ('text', 'formula') AND regexp_full_match(gt, '[\x00-\x7f]*', 's')),
+A AS (SELECT id, task, gt, unnest(candidates) AS c FROM P), B AS (SELECT id, task, c, {_form("c.text")} AS p, {_form("gt")} AS g FROM A WHERE regexp_full_match(c.text, '[\x00-\x7f]*', 's')),
+D AS (SELECT *, coalesce(c.status = 'ok' AND c.finish_reason IN ('stop', 'eos'), false) AS done FROM B)
+SELECT id, c.id AS candidate_id, CASE WHEN done AND g <> '' THEN 1 - levenshtein(p, g) / greatest(length(p), length(g), 1) END AS score,
+  CASE WHEN NOT done THEN 'generation_error' WHEN g = '' THEN 'invalid_gt' ELSE 'ok' END AS status, CASE WHEN done AND g <> '' THEN p = g END AS exact,
+  CASE WHEN done AND g <> '' AND task = 'text' THEN levenshtein(p, g) / length(g) END AS cer, CASE WHEN done AND g <> '' AND task = 'text' AND contains(g, ' ') THEN {_wer("p", "g")} END AS wer FROM D""",
+        "import_plain": f"{S}, {_IMPORT}",
+        "pairs_plain": f"{S}, {_PAIRS}",
+        "mine_reasons": f"""{S}, {_ISOLATED}, {_ELIGIBLE},
+J AS (SELECT S.*, reason FROM S JOIN I USING (id)),
+W AS (SELECT CASE WHEN reason IS NOT NULL THEN reason WHEN split <> 'train' THEN 'held_out' WHEN gt IS NULL THEN 'missing_gt_disagreement_only' WHEN NOT {_TRUSTED} THEN 'untrusted_gt' WHEN sig.sft_score IS NULL THEN 'missing_or_failed_sft_score' ELSE 'scored' END AS reason FROM J),
+X AS (SELECT reason, count(*) AS n FROM W GROUP BY 1)
+SELECT reason, n FROM X WHERE reason <> 'scored' UNION ALL SELECT 'chosen', least(n, 1000) FROM X WHERE reason = 'scored' UNION ALL SELECT 'not_selected_budget', n - 1000 FROM X WHERE reason = 'scored' AND n > 1000""",
+        "word_errors": rf"""{S}, A AS (SELECT id, task, gt, unnest(candidates) AS c FROM S WHERE task = 'text' AND gt IS NOT NULL), B AS (SELECT id, c.id AS candidate_id, {_form("c.text")} AS p, {_form("gt")} AS g FROM A WHERE c.text IS NOT NULL)
+SELECT id, candidate_id, CASE WHEN contains(g, ' ') THEN {_wer("p", "g")} END AS wer FROM B""",
         "signals": f"""{S},
 A AS (SELECT id, {_GREEDY.format("base")} AS b, {_GREEDY.format("sft")} AS s, sig.disagreement AS d, list_filter(list_transform(coalesce(candidates, []), lambda c: c.quality.score), lambda x: x IS NOT NULL) AS scores FROM S),
 C AS (SELECT *, 1 - s AS e, CASE WHEN b IS NOT NULL AND s IS NOT NULL THEN greatest(b - s, 0) END AS r FROM A),

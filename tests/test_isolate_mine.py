@@ -156,3 +156,17 @@ def test_stratify_hash_order_of_coverage(spark):
     want = sorted((f"i{k}" for k in range(50)), key=lambda i: (-int(digest([42, i])[:8], 16) / 2**32, i))[:10]
     assert [r.id for r in sel.orderBy("__position").collect()] == want
     assert {r.category: (r.desired, r.in_quota, r.actual, r.shortfall) for r in rep.collect()}["*/*/coverage"] == (2, 2, 10, 0)
+
+
+def test_a_third_of_all_rows_in_one_group(spark):
+    """No hash at all, one hash, one document and one id, each of a third of 90,000 rows or more: the verdicts are those of small groups."""
+    n = 90_000
+    third = F.col("n") % 3
+    df = spark.range(n).withColumnRenamed("id", "n").select(
+        "n", F.concat(F.lit("r"), F.col("n")).alias("id"), F.lit("text").alias("task"), F.when(F.col("n") == 0, "other").otherwise("t").alias("target"), F.when(F.col("n") == 1, "test").otherwise("train").alias("split"),
+        F.when(third == 0, None).when(third == 1, "hot").otherwise(F.concat(F.lit("h"), F.col("n"))).alias("pixel_hash"), F.when(third == 2, "hot").otherwise(F.concat(F.lit("d"), F.col("n"))).alias("document_id"),
+    )
+    held = spark.createDataFrame([("hot",)], "document_id string")
+    got = {(r.reason, r.duplicate_of): r["count"] for r in isolate(df, ["n"], held).groupBy("reason", "duplicate_of").count().collect()}
+    # Without a hash: the first row has another target, so it and all later ones conflict. One hash: a held-out row, r1, guards it.
+    assert got == {("duplicate_conflicting_gt", None): 1, ("duplicate_conflicting_gt", "r0"): n // 3 - 1, (None, None): 1, ("evaluation_overlap", None): 2 * n // 3 - 1}
