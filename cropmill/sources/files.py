@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cropmill.operators.ranking import global_rank
 from cropmill.sources import images
+from cropmill.sources.tables import materialize
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -248,6 +250,24 @@ def with_image_hashes(rows: DataFrame, base: str, column: str = "image", data: d
 
 
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a JSON list or of JSONL with inferred columns and `_ord`, their order. Columns that no row has are absent; missing and null are one."""
-    reader = spark.read if path.endswith(".jsonl") else spark.read.option("multiLine", True)
-    return reader.json(path).withColumn("_ord", F.monotonically_increasing_id())
+    """Rows of a JSON list, of JSONL, or of a folder of JSONL files, with inferred columns and `_ord`, their order (files by name).
+
+    Columns that no row has a value in are absent; missing and null are one. A root that is no list, and a line or
+    element that is no object, is an error.
+    """
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory()
+    lines = folder or path.endswith(".jsonl")
+    if not lines:
+        head = spark.read.text(path, wholetext=True).select(F.ltrim("value").startswith("[")).first()
+        if head is None or not head[0]:
+            raise ValueError(f"{path}: expected a list of objects")
+    df = spark.read.option("dropFieldIfAllNull", True).option("multiLine", not lines).json(path)
+    if "_corrupt_record" in df.columns:
+        raise ValueError(f"{path}: expected objects")
+    if not folder:
+        return df.withColumn("_ord", F.monotonically_increasing_id())
+    if "_ord" in df.columns:  # written by a stage, with the order it had
+        return df
+    placed = df.withColumn("__file", F.col("_metadata.file_path")).withColumn("__at", F.monotonically_increasing_id())
+    return global_rank(materialize(placed), [F.col("__file"), F.col("__at")], materialize, name="_ord").drop("__file", "__at")

@@ -405,3 +405,18 @@ def test_report_before_and_after(spark):
     page = report.render(rows.filter("_ord > 4"), rows.select("_ord", F.concat(F.lit("p"), 9 - F.col("_ord")).alias("id"), F.lit("why").alias("reason")), before=rows, sample_pages=2)
     assert page.count("<circle") == 8 and "task (before)" in page and "task (after)" in page and "samples-2.html" in page and "gt_length" in page
     assert page.index(">b<") < page.index(">a<") and page.index("p9\twhy") < page.index("p2\twhy")
+
+
+def test_rows_of_a_folder_keep_their_order_and_shape(spark, tmp_path):
+    (tmp_path / "out").mkdir()
+    for part in range(4):  # later files are larger, so a scan by size would begin with them
+        rows_ = [{"id": i, "text": "x" * 20 * (part + 1), "nothing": None} for i in range(50 * part, 50 * part + 50)]
+        (tmp_path / "out" / f"part-{part}.txt").write_text("".join(json.dumps(r) + "\n" for r in rows_))
+    back = files.read_rows(spark, str(tmp_path / "out"))
+    assert [r.id for r in back.orderBy("_ord").collect()] == list(range(200)) and "nothing" not in back.columns
+    for name, text in (("a.json", '{"id": 1}'), ("b.json", "[1, 2]"), ("c.jsonl", '{"id": 1}\n[2]\n'), ("d.json", "")):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(ValueError, match="expected"):
+            files.read_rows(spark, str(tmp_path / name))
+    (tmp_path / "e.json").write_text(' [{"id": 2}, {"id": 1}]')
+    assert [r.id for r in files.read_rows(spark, str(tmp_path / "e.json")).orderBy("_ord").collect()] == [2, 1]
